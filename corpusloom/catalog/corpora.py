@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from corpusloom.catalog import standins as S
 from corpusloom.catalog.registry import query
 from corpusloom.operators.interleave import union_sources as union
-from corpusloom.plans.prepare import load_corpora, usable_rows
+from corpusloom.plans.prepare import load_corpora, load_corpus, usable_rows
 from corpusloom.operators.batching import assign_batches
 from corpusloom.sources.corpora import SourceSpec, open_sources
 
@@ -25,7 +25,7 @@ SPECS = (MULTI, SUBSET, LANGUAGE)
 
 def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The utterances as each kind of source would hold them."""
-    base = S.utterances(spark, sf_dir)
+    base = S.as_utterances(S.read_table(spark, sf_dir, "documents"))
     by_language = base.withColumn("config", F.col("source"))
     plain = by_language.drop("sentence")
     subsets = F.when(F.col("source") == "en", "xs").otherwise(F.col("source"))
@@ -144,7 +144,7 @@ def prepare_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = SourceSpec(
         "librispeech_asr", S.LANGUAGES, train_splits=["train"] * 4, eval_splits=["validation"] * 4
     )
-    train, _ = load_corpora([spec], tables(spark, sf_dir))
+    train = load_corpus([spec], tables(spark, sf_dir))
     batched = assign_batches(train, "pos", 4)
     rows = usable_rows(batched, F.col("n_samples"), 16000, S.MAX_SECONDS)
     return rows.groupBy("source").agg(

@@ -20,8 +20,12 @@ TRAIN_BATCH = 4
 ACCUMULATION = 4
 
 
+def utterances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.as_utterances(S.read_table(spark, sf_dir, "documents"))
+
+
 def placed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ordinal(S.utterances(spark, sf_dir).select("utterance_id"), ["utterance_id"])
+    return ordinal(utterances(spark, sf_dir).select("utterance_id"), ["utterance_id"])
 
 
 @query(
@@ -29,7 +33,7 @@ def placed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     "select lang as source, doc_id as utterance_id, row_number() over (partition by lang order by doc_id) as rn from documents",
 )
 def source_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ids = S.utterances(spark, sf_dir).select("source", "utterance_id")
+    ids = utterances(spark, sf_dir).select("source", "utterance_id")
     return ordinal(ids, ["utterance_id"], ["source"], out="rn")
 
 
@@ -41,14 +45,14 @@ def source_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
     select pos, k, rn, utterance_id, text from merged""",
 )
 def interleave(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = S.utterances(spark, sf_dir)
+    table = utterances(spark, sf_dir)
     sources = [table.where(F.col("source") == name) for name in S.LANGUAGES]
     return round_robin(sources, "utterance_id").select("pos", "k", "rn", "utterance_id", "text")
 
 
 @query("take_n", WITH + "select pos, utterance_id, source, text from placed where pos <= 100")
 def take_n(spark: SparkSession, sf_dir: str) -> DataFrame:
-    placed = attach_ordinal(S.utterances(spark, sf_dir), ["utterance_id"], ["utterance_id"])
+    placed = attach_ordinal(utterances(spark, sf_dir), ["utterance_id"], ["utterance_id"])
     return take(placed, "pos", 100).select("pos", "utterance_id", "source", "text")
 
 
@@ -85,7 +89,7 @@ def assign_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
       cast(count(*) filter (where valid) = 0 as int) as is_empty from checked group by batch_id""",
 )
 def empty_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    placed = attach_ordinal(S.utterances(spark, sf_dir), ["utterance_id"], ["utterance_id"])
+    placed = attach_ordinal(utterances(spark, sf_dir), ["utterance_id"], ["utterance_id"])
     batched = B.assign_batches(placed, "pos", TRAIN_BATCH)
     rows = usable_rows(batched, F.col("n_samples"), 16000, S.MAX_SECONDS)
     return B.batch_report(rows, F.col("valid")).withColumn("is_empty", F.col("is_empty").cast("int"))

@@ -56,7 +56,7 @@ def wer_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("wer_documents")
 def wer_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole documents, thousands of words long, by language. Too slow for the SQL table method."""
-    pairs = S.read_table(spark, sf_dir, "documents").select(
+    pairs = S.documents(spark, sf_dir).select(
         "lang",
         F.col("text").alias("reference"),
         F.array_join(S.predicted_words(F.col("text")), " ").alias("prediction"),

@@ -19,12 +19,12 @@ _LEFT, _RIGHT = "　\t", " \n "
 @query("strip_ws", f"select doc_id, {S.sql_strip(f'''('{_LEFT}' || text || '{_RIGHT}')''')} as text from documents")
 def strip_ws(spark: SparkSession, sf_dir: str) -> DataFrame:
     padded = F.concat(F.lit(_LEFT), F.col("text"), F.lit(_RIGHT))
-    return S.read_table(spark, sf_dir, "documents").select("doc_id", X.strip_ws(padded).alias("text"))
+    return S.documents(spark, sf_dir).select("doc_id", X.strip_ws(padded).alias("text"))
 
 
 @query("collapse_ws", f"select doc_id, {S.sql_collapse('text')} as text from documents")
 def collapse_ws(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.read_table(spark, sf_dir, "documents").select("doc_id", X.collapse_ws(F.col("text")).alias("text"))
+    return S.documents(spark, sf_dir).select("doc_id", X.collapse_ws(F.col("text")).alias("text"))
 
 
 @query(

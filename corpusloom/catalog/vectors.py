@@ -155,7 +155,7 @@ SAMPLES_SQL = """sounds as (select doc_id,
 
 
 def sounds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.read_table(spark, sf_dir, "documents").select("doc_id", S.text_samples(F.col("text")).alias("a"))
+    return S.documents(spark, sf_dir).select("doc_id", S.text_samples(F.col("text")).alias("a"))
 
 
 @query(
@@ -182,8 +182,7 @@ def pad_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
     select doc_id, count(*) as n, round(sum((l * (1 - part) + r * part) * (i + 1)), 4) as total from mixed group by doc_id""",
 )
 def resample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = sounds(spark, sf_dir).where(F.size("a") > 0)
-    rows = rows.select("doc_id", A.resample_long(F.col("a"), 24000, 16000).alias("r"))
+    rows = sounds(spark, sf_dir).select("doc_id", A.resample_long(F.col("a"), 24000, 16000).alias("r"))
     return rows.select("doc_id", F.size("r").cast("bigint").alias("n"), weighted_sum(F.col("r")).alias("total"))
 
 
@@ -197,8 +196,8 @@ def resample(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def frame_energy(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sounds(spark, sf_dir).select("doc_id", A.frame_energy(F.col("a")).alias("e"))
-    frames = rows.select("doc_id", F.posexplode("e").alias("frame", "energy"))
-    return frames.select("doc_id", F.col("frame").cast("bigint").alias("frame"), F.round("energy", 6).alias("energy"))
+    frames = rows.select("doc_id", F.posexplode_outer("e").alias("frame", "energy"))
+    return frames.where(F.col("frame").isNotNull()).select("doc_id", F.col("frame").cast("bigint").alias("frame"), F.round("energy", 6).alias("energy"))
 
 
 @query("log_mel")

@@ -17,7 +17,7 @@ VOCAB_SQL = f"""counted as (
 
 
 def document_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = S.read_table(spark, sf_dir, "documents").select(split_ws(F.col("text")).alias("words"))
+    words = S.documents(spark, sf_dir).select(split_ws(F.col("text")).alias("words"))
     return V.vocab_build(words, "words")
 
 
@@ -64,7 +64,7 @@ def token_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     select doc_id, coalesce(ids, '') as ids from documents left join coded using (doc_id)""",
 )
 def encode_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = S.read_table(spark, sf_dir, "documents").select("doc_id", split_ws(F.col("text")).alias("words"))
+    words = S.documents(spark, sf_dir).select("doc_id", split_ws(F.col("text")).alias("words"))
     coded = V.encode_ids(words, ["doc_id"], "words", document_vocab(spark, sf_dir))
     return coded.select("doc_id", S.ids_text(F.col("ids")).alias("ids"))
 
@@ -75,7 +75,7 @@ def encode_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def decode_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode and decode again; the word that counts as special is left out."""
-    words = S.read_table(spark, sf_dir, "documents").select("doc_id", split_ws(F.col("text")).alias("words"))
+    words = S.documents(spark, sf_dir).select("doc_id", split_ws(F.col("text")).alias("words"))
     vocab = document_vocab(spark, sf_dir)
     coded = V.encode_ids(words, ["doc_id"], "words", vocab)
     return V.decode_ids(coded, ["doc_id"], "ids", vocab, skip=["the"])

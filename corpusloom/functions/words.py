@@ -14,7 +14,7 @@ _FIRST_CODE = 0x10000
 _MOST_CODES = 0x100000
 
 # Pairs above this many (reference word, predicted word) cells are counted in Arrow batches.
-LONG_PAIR_CELLS = 40_000
+LONG_PAIR_CELLS = 10_000
 
 
 def word_list(text: Column) -> Column:

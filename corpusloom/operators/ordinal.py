@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from corpusloom.session import write_through
 
-# A start table of at most this many rows is broadcast.
-MOST_STARTS = 200_000
+# A start table of at most this many rows is kept on the driver and broadcast.
+MOST_STARTS = 50_000
 
 
 def ordinal(
@@ -47,9 +47,10 @@ def ordinal(
     starts = starts.select(
         *groups, "_range", (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift")
     )
-    # Without groups there is one start per range; with groups their number has to be looked at.
-    if not groups or starts.count() <= MOST_STARTS:
-        starts = F.broadcast(starts)
+    # Without groups there is one start per range; with groups there may be very many.
+    first = starts.limit(MOST_STARTS + 1).collect()
+    if len(first) <= MOST_STARTS:
+        starts = F.broadcast(spark.createDataFrame(first, starts.schema))
     return (
         placed.join(starts, [*groups, "_range"])
         .withColumn(out, F.col("_row") + F.col("_shift") + 1)

@@ -21,9 +21,9 @@ LONGEST_HEAD_TOKEN = 64
 
 def vocab_build(df: DataFrame, words: str) -> DataFrame:
     """``(token, id, uses)``; ids run from 0 by falling use, then by token."""
-    counts = (
-        df.select(F.explode(words).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("uses"))
-    )
+    # The inner explode would come with a filter that splits every text a second time.
+    tokens = df.select(F.explode_outer(words).alias("token")).where(F.col("token").isNotNull())
+    counts = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("uses"))
     ranked = ordinal(counts, [F.desc("uses"), F.col("token")], out="id")
     return ranked.select("token", (F.col("id") - 1).alias("id"), "uses")
 

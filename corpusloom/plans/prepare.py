@@ -14,7 +14,25 @@ from corpusloom.operators.batching import assign_batches
 from corpusloom.operators.interleave import interleave
 from corpusloom.operators.ordinal import take_n
 from corpusloom.operators.rows import filter_map
-from corpusloom.sources.corpora import SourceSpec, open_sources
+from corpusloom.sources.corpora import SourceSpec, open_sources, resampled
+
+
+def load_corpus(
+    specs: Sequence[SourceSpec],
+    tables: Mapping[str, DataFrame],
+    evaluation: bool = False,
+    order_by: str = "utterance_id",
+    sample_rate: int | None = None,
+    max_samples: int | None = None,
+) -> DataFrame:
+    """One side of the sources: interleaved, limited, with ``pos``.
+
+    Rows of a source come in the order of ``order_by``, which is unique within it.
+    """
+    merged = interleave(open_sources(specs, tables, evaluation), order_by)
+    rows = take_n(merged, "pos", max_samples)
+    # Only rows that are left get their audio resampled.
+    return resampled(rows, sample_rate)
 
 
 def load_corpora(
@@ -25,12 +43,11 @@ def load_corpora(
     max_train_samples: int | None = None,
     max_eval_samples: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """The training and the validation set: sources, interleaved, limited, with ``pos``."""
-    sides = []
-    for evaluation, limit in ((False, max_train_samples), (True, max_eval_samples)):
-        streams = open_sources(specs, tables, evaluation, sample_rate)
-        sides.append(take_n(interleave(streams, order_by), "pos", limit))
-    return sides[0], sides[1]
+    """The training and the validation set; both go through the same plan."""
+    return (
+        load_corpus(specs, tables, False, order_by, sample_rate, max_train_samples),
+        load_corpus(specs, tables, True, order_by, sample_rate, max_eval_samples),
+    )
 
 
 def usable_text(df: DataFrame) -> Column:

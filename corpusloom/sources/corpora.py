@@ -78,9 +78,8 @@ def open_sources(
     specs: Sequence[SourceSpec],
     tables: Mapping[str, DataFrame],
     evaluation: bool = False,
-    sample_rate: int | None = None,
 ) -> list[DataFrame]:
-    """The streams of all configured sources in list order, brought to one sampling rate."""
+    """The streams of all configured sources in list order."""
     streams: list[DataFrame] = []
     for spec in specs:
         if spec.name not in SOURCE_KINDS:
@@ -88,14 +87,16 @@ def open_sources(
         streams += SOURCE_KINDS[spec.name](tables[spec.name], spec, evaluation)
     if not streams:
         raise ValueError("no sources configured")
-    if sample_rate is not None:
-        streams = [
-            df.withColumn("audio", cast_audio(F.col("audio"), sample_rate)) if "audio" in df.columns else df
-            for df in streams
-        ]
     return streams
 
 
+def resampled(df: DataFrame, sample_rate: int | None) -> DataFrame:
+    """Audio, if there is any, at one sampling rate."""
+    if sample_rate is None or "audio" not in df.columns:
+        return df
+    return df.withColumn("audio", cast_audio(F.col("audio"), sample_rate))
+
+
 def read_tables(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, DataFrame]:
     """Source tables from Parquet folders; config and split prune whole folders."""
     return {name: spark.read.parquet(path) for name, path in paths.items()}
