@@ -19,6 +19,9 @@ HOP_SAMPLES = 160
 MEL_BANDS = 80
 MAX_SAMPLES = 480000
 
+# Frames of one recording that are transformed together, which bounds memory for a long one.
+FRAMES_AT_ONCE = 4096
+
 
 def duration_seconds(samples: Column, rate: Column | int) -> Column:
     """Length in seconds; NULL where it cannot be told."""
@@ -46,8 +49,8 @@ def resample(samples: Column, rate_in: Column | int, rate_out: int) -> Column:
             right = F.get(array, F.least(low + 1, F.size(array) - 1)).cast("double")
             return left * (1 - part) + right * part
 
-        return F.when(size > 0, F.transform(F.sequence(F.lit(0).cast("bigint"), last), at)).otherwise(
-            F.array().cast("array<double>")
+        return F.when(size == 0, F.array().cast("array<double>")).otherwise(
+            F.transform(F.sequence(F.lit(0).cast("bigint"), last), at)
         )
 
     return let(samples, resampled)
@@ -93,13 +96,12 @@ def frame_energy(samples: Column, frame: int = FRAME_SAMPLES, hop: int = HOP_SAM
             total = F.aggregate(part, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double"))
             return F.sqrt(total / F.size(part))
 
-        return F.when(
-            F.size(array) > 0,
+        return F.when(F.size(array) == 0, F.array().cast("array<double>")).otherwise(
             F.transform(
                 F.sequence(F.lit(0), last),
                 lambda i: let(F.slice(array, i * hop + 1, F.lit(frame)), rms),
-            ),
-        ).otherwise(F.array().cast("array<double>"))
+            )
+        )
 
     return let(samples, energies)
 
@@ -164,10 +166,13 @@ def log_mel(
                 mode = "reflect" if len(wave) > n_fft // 2 else "constant"
                 wave = np.pad(wave, n_fft // 2, mode=mode)
                 framed = np.lib.stride_tricks.sliding_window_view(wave, n_fft)[::hop][:-1]
-                power = np.abs(np.fft.rfft(framed * window, axis=1)) ** 2
-                mel = np.log10(np.maximum(power @ filters.T, 1e-10))
-                if not len(mel):
+                if not len(framed):
                     continue
+                parts = [
+                    np.abs(np.fft.rfft(framed[i : i + FRAMES_AT_ONCE] * window, axis=1)) ** 2 @ filters.T
+                    for i in range(0, len(framed), FRAMES_AT_ONCE)
+                ]
+                mel = np.log10(np.maximum(np.concatenate(parts), 1e-10))
                 mel = (np.maximum(mel, mel.max() - 8.0) + 4.0) / 4.0
                 yield pd.DataFrame(
                     {key: name, "frame": np.arange(len(mel)), "mel": list(mel.astype(np.float32))}

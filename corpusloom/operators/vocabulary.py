@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.operators.lookup import HEAD_ROWS, lookup_join, regroup
+from corpusloom.operators import lookup
+from corpusloom.operators.lookup import lookup_join, regroup
 from corpusloom.operators.ordinal import ordinal
 
 # The audio tokens and the padding token a vocabulary needs.
@@ -15,8 +16,10 @@ AUDIO_TOKENS = ("<|audio_start|>", "<|audio_end|>", "<|audio_pad|>", "<|audio_se
 MARKER_TOKEN = "<|audio_chunk|>"
 PAD_TOKEN = "[PAD]"
 
-# Longer tokens are left to the shuffled part of a lookup, which bounds the broadcast part.
-LONGEST_HEAD_TOKEN = 64
+# Bytes a token in the broadcast part of a lookup may have: the first number for any of them, the
+# second divided by its rank if that is more. Over all ranks this stays below the lookup's limit.
+HEAD_TOKEN_BYTES = 64
+HEAD_RANK_BYTES = 4 * 1024 * 1024
 
 
 def vocab_build(df: DataFrame, words: str) -> DataFrame:
@@ -57,7 +60,9 @@ def token_lookup(df: DataFrame, vocab: DataFrame, token: str = "token") -> DataF
 
 
 def _head(entries: DataFrame, token: str) -> DataFrame:
-    return entries.where((F.col("id") < HEAD_ROWS) & (F.octet_length(token) <= LONGEST_HEAD_TOKEN))
+    """The most used tokens; only one that is long for its rank is left out."""
+    most = F.greatest(F.lit(HEAD_TOKEN_BYTES), F.lit(HEAD_RANK_BYTES) / (F.col("id") + 1))
+    return entries.where((F.col("id") < lookup.HEAD_ROWS) & (F.octet_length(token) <= most))
 
 
 def encode_ids(

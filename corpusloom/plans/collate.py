@@ -65,6 +65,7 @@ def splice_batch(
     dim: int,
     mask_mode: str = "reference",
     strict: bool = True,
+    head: DataFrame | None = None,
 ) -> DataFrame:
     """Vectors of token sequences with each row's own segment in place of the marker.
 
@@ -72,7 +73,7 @@ def splice_batch(
     ``mask_mode="strict"``; ``segments`` is ``(pos, segment)`` with an array of vectors;
     ``embeddings`` is ``(id, vector)``. In mode ``reference`` text padding counts as sequence, in
     mode ``strict`` it keeps its own mask. Without ``strict``, rows that lack the marker are left
-    out instead of raising an error.
+    out instead of raising an error. ``head`` is as for ``embedding_gather``.
     """
     if mask_mode not in ("reference", "strict"):
         raise ValueError(mask_mode)
@@ -92,7 +93,7 @@ def splice_batch(
         "batch_id", "pos", "_place", "_longest", labels.alias("labels"), own.alias("_mask")
     )
 
-    vectors = embedding_gather(sized, ["pos"], "input_ids", embeddings, dim, out="inputs_embeds")
+    vectors = embedding_gather(sized, ["pos"], "input_ids", embeddings, dim, out="inputs_embeds", head=head)
     spliced = (
         vectors.join(rows, "pos")
         .join(segments.select("pos", "segment"), "pos")

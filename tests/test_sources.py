@@ -1,0 +1,110 @@
+"""Configured sources, evaluation tables and the shared folder."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from corpusloom import session
+from corpusloom.plans.evaluate import log_predictions
+from corpusloom.plans.prepare import load_corpora
+from corpusloom.sources import sinks
+from corpusloom.sources.corpora import SourceSpec, open_sources, read_tables
+
+
+@pytest.fixture(scope="module")
+def tables(spark, tmp_path_factory):
+    """Source tables as Parquet folders, partitioned by config and split."""
+    paths = {}
+    audio = F.struct(F.array_repeat(F.lit(1.0).cast("float"), 4).alias("array"), F.lit(8).alias("sampling_rate"))
+    made = {
+        "librispeech_asr": ("text string", [("clean", "train", 5), ("other", "train", 3), ("clean", "dev", 2), ("other", "dev", 2)]),
+        "gigaspeech": ("text string", [("xs", "train", 8), ("s", "train", 6), ("xs", "dev", 4)]),
+        "common_voice": ("sentence string", [("en", "train", 4), ("de", "train", 7), ("en", "dev", 3)]),
+    }
+    for name, (column, parts) in made.items():
+        rows = [
+            (100 * p + i, config, split, "<SIL>" if name == "gigaspeech" and i % 2 else f"{name} <COMMA> {i}")
+            for p, (config, split, n) in enumerate(parts) for i in range(n)
+        ]
+        df = spark.createDataFrame(rows, f"utterance_id bigint, config string, split string, {column}")
+        paths[name] = str(tmp_path_factory.mktemp("tables") / name)
+        df.withColumn("audio", audio).write.partitionBy("config", "split").parquet(paths[name])
+    return read_tables(spark, paths)
+
+
+MULTI = SourceSpec("librispeech_asr", ["clean", "other"], ["train", "train"], ["dev", "dev"])
+TAGGED = SourceSpec("gigaspeech", train_split="train", eval_split="dev")
+NAMED = SourceSpec("common_voice", train_split="train", eval_split="dev")
+
+
+def test_streams_in_list_order(tables):
+    streams = open_sources([MULTI, TAGGED, NAMED], tables)
+    assert [df.count() for df in streams] == [5, 3, 4, 4]
+    assert all("text" in df.columns and "sentence" not in df.columns for df in streams)
+    assert [df.count() for df in open_sources([MULTI, TAGGED, NAMED], tables, evaluation=True)] == [2, 2, 2, 3]
+
+
+def test_named_subset_and_language(tables):
+    tagged = SourceSpec("gigaspeech", subset="s", train_split="train")
+    named = SourceSpec("common_voice", language="de", train_split="train")
+    assert [df.count() for df in open_sources([tagged, named], tables)] == [3, 7]
+    texts = {r["text"] for r in open_sources([tagged], tables)[0].collect()}
+    assert texts == {f"gigaspeech , {i}" for i in (0, 2, 4)}
+
+
+def test_wrong_configurations(tables):
+    with pytest.raises(ValueError, match="unknown source"):
+        open_sources([SourceSpec("elsewhere")], tables)
+    with pytest.raises(ValueError, match="no sources"):
+        open_sources([], tables)
+    with pytest.raises(ValueError, match="2 configs, 1 splits"):
+        open_sources([SourceSpec("librispeech_asr", ["clean", "other"], ["train"])], tables)
+
+
+def test_config_and_split_prune_folders(tables):
+    text = open_sources([NAMED], tables)[0]._jdf.queryExecution().toString()
+    assert "(config#" in text.split("PartitionFilters: [")[1].split("PushedFilters")[0]
+
+
+def test_both_sides(tables):
+    train, validation = load_corpora(
+        [MULTI, TAGGED, NAMED], tables, sample_rate=16, max_train_samples=6, max_eval_samples=0
+    )
+    got = train.orderBy("pos").collect()
+    assert [(r["pos"], r["k"], r["rn"]) for r in got] == [(1, 0, 1), (2, 1, 1), (3, 2, 1), (4, 3, 1), (5, 0, 2), (6, 1, 2)]
+    assert all(len(r["audio"]["array"]) == 8 and r["audio"]["sampling_rate"] == 16 for r in got)
+    assert [r["pos"] for r in validation.orderBy("pos").collect()] == [1, 2, 3, 4, 5]
+
+
+def test_single_source_passes_through(tables):
+    train, _ = load_corpora([NAMED], tables)
+    assert [r["pos"] for r in train.orderBy("utterance_id").collect()] == [1, 2, 3, 4]
+
+
+def test_log_predictions(spark, tmp_path):
+    scalars, texts = str(tmp_path / "scalars"), str(tmp_path / "texts")
+    rows = [
+        (run, step, pos, "a b", "a b" if pos % 2 else "a c")
+        for run in ("r1", "r2") for step in (0, 250, 500, 1000) for pos in range(1, 13)
+    ]
+    pairs = spark.createDataFrame(rows, "run_id string, step bigint, pos bigint, reference string, prediction string")
+    log_predictions(pairs.where("step < 1000"), scalars, texts)
+    log_predictions(pairs.where("step >= 1000"), scalars, texts)
+    got = sorted((r["run_id"], r["tag"], r["step"], r["value"]) for r in sinks.read_scalars(spark, scalars).collect())
+    assert got == [(run, "eval/wer", step, 0.25) for run in ("r1", "r2") for step in (500, 1000)]
+    reports = sinks.read_texts(spark, texts).where("run_id = 'r2'").collect()
+    assert [r["text"].count("Truth: a b") for r in reports] == [5, 5]
+
+
+def test_shared_folder_is_the_one_the_session_names(spark):
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        assert session.shared_folder(spark) == named.rstrip("/")
+    else:
+        assert session.shared_folder(spark) == session.shared_folder(spark)
+
+
+def test_spread_leaves_tables_of_many_splits(spark):
+    cores = spark.sparkContext.defaultParallelism
+    assert session.spread(spark.range(0, 10, 1, 1)).rdd.getNumPartitions() == cores
+    wide = spark.range(0, 10, 1, cores)
+    assert session.spread(wide) is wide
