@@ -49,6 +49,6 @@ def regroup(df: DataFrame, keys: Sequence[str], pos: str, value: str, out: str)
     pair = F.when(F.col(pos).isNotNull(), F.struct(pos, value))
     return (
         df.groupBy(*keys)
-        .agg(F.array_sort(F.collect_list(pair)).alias("_pairs"))
+        .agg(F.sort_array(F.collect_list(pair)).alias("_pairs"))
         .select(*keys, F.col(f"_pairs.{value}").alias(out))
     )

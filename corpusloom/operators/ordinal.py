@@ -30,10 +30,10 @@ def ordinal(
     spark = df.sparkSession
     groups = list(partition_by)
     order = [*groups, *order_by]
-    count = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Without a number the ranges are merged at run time while they are small.
+    ranged = df.repartitionByRange(ranges, *order) if ranges else df.repartitionByRange(*order)
     placed = write_through(
-        df.repartitionByRange(count, *order)
-        .sortWithinPartitions(*order)
+        ranged.sortWithinPartitions(*order)
         .withColumn("_row", F.monotonically_increasing_id()),
         "ordinal",
     ).withColumn("_range", F.shiftright("_row", 33))
@@ -48,8 +48,8 @@ def ordinal(
         *groups, "_range", (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift")
     )
     # Without groups there is one start per range; with groups there may be very many.
-    first = starts.limit(MOST_STARTS + 1).collect()
-    if len(first) <= MOST_STARTS:
+    first = starts.limit(MOST_STARTS + 1).toArrow()
+    if first.num_rows <= MOST_STARTS:
         starts = F.broadcast(spark.createDataFrame(first, starts.schema))
     return (
         placed.join(starts, [*groups, "_range"])

@@ -20,10 +20,11 @@ def pair_predictions(references: DataFrame, predictions: DataFrame, key: str = "
 
 
 def score_pairs(df: DataFrame, reference: str = "reference", prediction: str = "prediction") -> DataFrame:
-    """Add ``edits`` and ``ref_words`` to pairs of texts."""
+    """Add ``edits`` and ``ref_words`` to pairs of texts; both are NULL if a text is missing."""
     words = df.withColumn("_ref", word_list(F.col(reference))).withColumn("_pred", word_list(F.col(prediction)))
     scored = with_word_edits(words, "_ref", "_pred")
-    return scored.withColumn("ref_words", F.size("_ref").cast("bigint")).drop("_ref", "_pred")
+    counted = F.when(F.col("edits").isNotNull(), F.size("_ref").cast("bigint"))
+    return scored.withColumn("ref_words", counted).drop("_ref", "_pred")
 
 
 def wer_corpus(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -71,7 +72,7 @@ def console_report(
 
 
 def _joined(samples: DataFrame, by: Sequence[str], pos: str) -> DataFrame:
-    ordered = F.array_sort(F.collect_list(F.struct(F.col(pos).alias("at"), F.col("_sample").alias("text"))))
+    ordered = F.sort_array(F.collect_list(F.struct(F.col(pos).alias("at"), F.col("_sample").alias("text"))))
     return (
         samples.groupBy(*by)
         .agg(ordered.alias("_samples"))

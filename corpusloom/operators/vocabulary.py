@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,7 +50,7 @@ def add_tokens(vocab: DataFrame, tokens: Sequence[str] = AUDIO_TOKENS) -> tuple[
     added = new_tokens(vocab, tokens)
     if not added:
         return vocab, 0
-    rows = vocab.sparkSession.createDataFrame(added, "token string, id bigint")
+    rows = vocab.sparkSession.createDataFrame(pa.table(list(zip(*added)), names=["token", "id"]))
     return vocab.unionByName(rows, allowMissingColumns=True), len(added)
 
 
