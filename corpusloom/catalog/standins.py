@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.functions.text import WHITESPACE, split_ws
+from corpusloom.functions.text import split_ws
 from corpusloom.functions.words import word_list
 from corpusloom.operators.ordinal import ordinal
 from corpusloom.session import read_table, spread
@@ -54,6 +54,11 @@ def utterances(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # SQL text for the rules on strings.
 
+# Python's whitespace, character by character.
+WHITESPACE = (
+    r"\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+)
+
 
 def sql_strip(x: str) -> str:
     return f"regexp_replace({x}, '^[{WHITESPACE}]+|[{WHITESPACE}]+$', '', 'g')"

@@ -70,6 +70,14 @@ def test_random_texts(spark):
     assert mapped(spark, texts, X.split_ws) == [t.split() for t in texts]
 
 
+def test_whitespace_is_that_of_python(spark):
+    signs = [chr(c) for c in range(1, 0x110000) if not 0xD800 <= c < 0xE000]
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(signs) if i < 0x4000 or i % 97 == 0], "i int, text string")
+    got = df.select("text", F.rlike("text", F.lit(f"[{X.WHITESPACE}]")).alias("space")).collect()
+    assert [r["text"] for r in got if r["space"]] == [r["text"] for r in got if r["text"].isspace()]
+    assert sum(r["space"] for r in got) == 29
+
+
 def test_cleaning_twice_changes_nothing(spark):
     once = [t for t in mapped(spark, random_texts(2000, seed=2), X.clean_text) if t is not None]
     assert mapped(spark, once, X.clean_guarded) == once
