@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from corpusloom.functions.binding import let
@@ -13,9 +13,6 @@ from corpusloom.functions.text import WHITESPACE, strip_ws
 _FIRST_CODE = 0x10000
 _MOST_CODES = 0x100000
 
-# Pairs above this many (reference word, predicted word) cells are counted in Arrow batches.
-LONG_PAIR_CELLS = 10_000
-
 
 def word_list(text: Column) -> Column:
     """Words as the word-error-rate library takes them.
@@ -27,31 +24,6 @@ def word_list(text: Column) -> Column:
     return F.array_remove(F.split(spaced, " "), "")
 
 
-def _as_characters(words: Column, distinct: Column) -> Column:
-    codes = F.transform(
-        words, lambda w: F.lpad(F.hex(F.array_position(distinct, w) + F.lit(_FIRST_CODE - 1)), 8, "0")
-    )
-    return F.decode(F.unhex(F.array_join(codes, "")), "UTF-32")
-
-
-def word_edits(reference: Column, prediction: Column) -> Column:
-    """Fewest word substitutions, deletions and insertions between two word arrays.
-
-    Each distinct word of the pair stands as one character, so Spark's own ``levenshtein`` does
-    the work. A pair with more distinct words than there are characters raises an error.
-    """
-
-    def edits(distinct: Column) -> Column:
-        return F.when(
-            F.size(distinct) > _MOST_CODES,
-            F.raise_error(F.lit("too many distinct words in one pair")).cast("int"),
-        ).otherwise(
-            F.levenshtein(_as_characters(reference, distinct), _as_characters(prediction, distinct))
-        )
-
-    return let(F.array_distinct(F.concat(reference, prediction)), edits).cast("bigint")
-
-
 def _count_edits(reference: list[str], prediction: list[str]) -> int:
     """Edit distance by bit vectors (Myers 1999, Hyyro 2003), one bit per reference word."""
     n = len(reference)
@@ -77,8 +49,13 @@ def _count_edits(reference: list[str], prediction: list[str]) -> int:
     return edits
 
 
-def long_word_edits(reference: Column, prediction: Column) -> Column:
-    """``word_edits`` for long texts; NULL if either side is."""
+def word_edits(reference: Column, prediction: Column) -> Column:
+    """Fewest word substitutions, deletions and insertions between two word arrays.
+
+    Counted in Arrow batches. One step there covers a whole row of the distance table, so long
+    texts take a small part of the time of ``word_edits_native``; for utterances of some twenty
+    words both take the same. NULL if either side is.
+    """
 
     def count(references: pd.Series, predictions: pd.Series) -> pd.Series:
         return pd.Series(
@@ -92,19 +69,32 @@ def long_word_edits(reference: Column, prediction: Column) -> Column:
     return F.pandas_udf(count, "bigint")(reference, prediction)
 
 
-def with_word_edits(
-    df: DataFrame, reference: str, prediction: str, out: str = "edits", long_cells: int = LONG_PAIR_CELLS
-) -> DataFrame:
-    """Add the edits between two word-array columns.
+def _as_characters(words: Column, distinct: Column) -> Column:
+    def place(w: Column) -> Column:
+        return F.array_position(distinct, w)
 
-    The work on a pair grows with the product of its lengths. Utterances are counted by
-    ``word_edits``; only the words of long pairs travel to Python, where 64 cells cost one step.
+    few = F.array_join(F.transform(words, lambda w: F.char(place(w))), "")
+    codes = F.transform(words, lambda w: F.lpad(F.hex(place(w) + F.lit(_FIRST_CODE - 1)), 8, "0"))
+    many = F.decode(F.unhex(F.array_join(codes, "")), "UTF-32")
+    return F.when(F.size(distinct) < 256, few).otherwise(many)
+
+
+def word_edits_native(reference: Column, prediction: Column) -> Column:
+    """``word_edits`` without Python workers.
+
+    Each distinct word of the pair stands as one character, so Spark's own ``levenshtein`` does
+    the work. A pair with more distinct words than there are characters raises an error.
     """
-    is_long = F.size(reference).cast("bigint") * F.size(prediction) > long_cells
-    sent = long_word_edits(F.when(is_long, F.col(reference)), F.when(is_long, F.col(prediction)))
-    return df.withColumn(
-        out, F.when(is_long, sent).otherwise(word_edits(F.col(reference), F.col(prediction)))
-    )
+
+    def edits(distinct: Column) -> Column:
+        return F.when(
+            F.size(distinct) > _MOST_CODES,
+            F.raise_error(F.lit("too many distinct words in one pair")).cast("int"),
+        ).otherwise(
+            F.levenshtein(_as_characters(reference, distinct), _as_characters(prediction, distinct))
+        )
+
+    return let(F.array_distinct(F.concat(reference, prediction)), edits).cast("bigint")
 
 
 def format_wer(rate: Column) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.functions.words import with_word_edits, word_list
+from corpusloom.functions.words import word_edits, word_edits_native, word_list
 
 # Rows in the text report and in the console report, and the console's text width.
 REPORT_ROWS = 5
@@ -19,10 +19,16 @@ def pair_predictions(references: DataFrame, predictions: DataFrame, key: str = "
     return references.join(predictions, key)
 
 
-def score_pairs(df: DataFrame, reference: str = "reference", prediction: str = "prediction") -> DataFrame:
-    """Add ``edits`` and ``ref_words`` to pairs of texts; both are NULL if a text is missing."""
+def score_pairs(
+    df: DataFrame, reference: str = "reference", prediction: str = "prediction", native: bool = False
+) -> DataFrame:
+    """Add ``edits`` and ``ref_words`` to pairs of texts; both are NULL if a text is missing.
+
+    ``native`` counts without Python workers, which suits short texts only.
+    """
     words = df.withColumn("_ref", word_list(F.col(reference))).withColumn("_pred", word_list(F.col(prediction)))
-    scored = with_word_edits(words, "_ref", "_pred")
+    counter = word_edits_native if native else word_edits
+    scored = words.withColumn("edits", counter(F.col("_ref"), F.col("_pred")))
     counted = F.when(F.col("edits").isNotNull(), F.size("_ref").cast("bigint"))
     return scored.withColumn("ref_words", counted).drop("_ref", "_pred")
 

@@ -3,8 +3,11 @@
 import os
 import random
 import re
+import subprocess
+import sys
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from corpusloom.functions import words as W
@@ -33,21 +36,23 @@ def test_edits_of_short_and_long_pairs(spark):
     pairs = random_pairs(1500, 12) + random_pairs(30, 150)
     df = spark.createDataFrame([(i, r, p) for i, (r, p) in enumerate(pairs)], "i int, r array<string>, p array<string>")
     wanted = [table_distance(r, p) for r, p in pairs]
-    for limit in (0, 100, 10**9):
-        got = W.with_word_edits(df, "r", "p", long_cells=limit).select("i", "edits").collect()
+    for counter in (W.word_edits, W.word_edits_native):
+        got = df.select("i", counter(F.col("r"), F.col("p")).alias("edits")).collect()
         assert [r["edits"] for r in sorted(got)] == wanted
 
 
 def test_many_distinct_words(spark):
-    reference = [f"w{i}" for i in range(40000)]
-    df = spark.createDataFrame([(reference, reference[1:] + ["end"])], "r array<string>, p array<string>")
-    assert W.with_word_edits(df, "r", "p").first()["edits"] == 2
+    for n in (100, 255, 256, 3000):
+        reference = [f"w{i}" for i in range(n)]
+        df = spark.createDataFrame([(reference, [*reference[1:], reference[n // 2]])], "r array<string>, p array<string>")
+        for counter in (W.word_edits, W.word_edits_native):
+            assert df.select(counter(F.col("r"), F.col("p"))).first()[0] == 2
 
 
 def test_missing_side(spark):
     df = spark.createDataFrame([(["a"], None), (None, ["a"])], "r array<string>, p array<string>")
-    for limit in (0, 100):
-        assert [r["edits"] for r in W.with_word_edits(df, "r", "p", long_cells=limit).collect()] == [None, None]
+    for counter in (W.word_edits, W.word_edits_native):
+        assert [r[0] for r in df.select(counter(F.col("r"), F.col("p"))).collect()] == [None, None]
 
 
 def test_word_list(spark):
@@ -84,7 +89,8 @@ def test_known_document_sums(spark):
     words = F.slice(split_ws(F.col("text")), 1, 40)
     df = spark.read.parquet(path).select("lang", words.alias("r"))
     df = df.withColumn("p", F.filter("r", lambda w, i: i % 5 != 4))
-    sums = W.with_word_edits(df, "r", "p").groupBy("lang").agg(F.sum("edits").alias("e"), F.sum(F.size("r")).alias("n"))
+    df = df.withColumn("edits", W.word_edits(F.col("r"), F.col("p")))
+    sums = df.groupBy("lang").agg(F.sum("edits").alias("e"), F.sum(F.size("r")).alias("n"))
     assert {r["lang"]: (r["e"], r["n"]) for r in sums.collect()} == {
         "de": (1002, 5026), "en": (4871, 24387), "es": (789, 3960), "fr": (1145, 5730)
     }
@@ -99,3 +105,12 @@ def test_reports(spark):
     short = console_report(df, ["run"]).first()["text"]
     assert short.startswith(f"  Truth:      {rows[0][2][:80]}...\n  Prediction: hyp 1...\n")
     assert short.count("Truth") == 3
+
+
+def test_functions_reach_tasks_without_the_package(tmp_path):
+    """Executors have no copy of this package."""
+    (tmp_path / "count").write_bytes(cloudpickle.dumps(W._count_edits))
+    code = "import pickle; print(pickle.load(open('count', 'rb'))(['a', 'b'], ['b', 'c', 'd']))"
+    environment = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    run = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=environment, capture_output=True, text=True)
+    assert run.stdout.strip() == "3", run.stderr
