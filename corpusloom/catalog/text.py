@@ -155,6 +155,14 @@ def tolerant(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.unionByName(rejected)
 
 
-@query("run_path", "select event_id, 'outputs/' || strftime(ts, '%Y-%m-%d/%H-%M-%S') as path from events")
+@query(
+    "run_path",
+    """select event_id, 'outputs/' || strftime(ts, '%Y-%m-%d/%H-%M-%S') as path,
+      'multirun/' || strftime(ts, '%Y-%m-%d/%H-%M-%S') || '/' || user_id as job_path from events""",
+)
 def run_path(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.read_table(spark, sf_dir, "events").select("event_id", path_of(F.col("ts")).alias("path"))
+    return S.read_table(spark, sf_dir, "events").select(
+        "event_id",
+        path_of(F.col("ts")).alias("path"),
+        path_of(F.col("ts"), "multirun", F.col("user_id")).alias("job_path"),
+    )

@@ -90,8 +90,7 @@ SAMPLES = 320
 _TEMPLATE = "'" + INSTRUCTION_TEMPLATE + "'"
 
 
-def collator_input(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = S.utterances(spark, sf_dir).select("utterance_id", "text", "sentence")
+def collator_input(table: DataFrame) -> DataFrame:
     raw = F.coalesce("text", "sentence", F.lit(""))
     samples = F.transform(split_ws(raw), lambda w: (F.length(w) / F.lit(8.0)).cast("float"))
     placed = attach_ordinal(table, ["utterance_id"], ["utterance_id"])
@@ -135,9 +134,9 @@ def collator_vocab(rows: DataFrame) -> tuple[DataFrame, int]:
     from filled f join kept using (pos)""",
 )
 def collate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = collator_input(spark, sf_dir)
-    vocab, pad_id = collator_vocab(rows.select(usable_text(rows).alias("text")))
-    valid = batched_rows(rows, "pos", 4, F.size("audio.array"), RATE, S.MAX_SECONDS)
+    table = S.utterances(spark, sf_dir).select("utterance_id", "text", "sentence")
+    vocab, pad_id = collator_vocab(table.select(usable_text(table).alias("text")))
+    valid = batched_rows(collator_input(table), "pos", 4, F.size("audio.array"), RATE, S.MAX_SECONDS)
     batch = collate_rows(
         valid.withColumn("samples", F.col("audio.array")), vocab, pad_id,
         max_tokens=TOKENS, audio="samples", audio_samples=SAMPLES,

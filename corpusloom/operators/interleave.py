@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.operators.ordinal import ordinal
+from corpusloom.session import write_through
 
 
 def union_sources(sources: Sequence[DataFrame], out: str = "k") -> DataFrame:
@@ -34,12 +35,13 @@ def interleave(
 
     Rows of a source come in the order of ``order_by``, which is unique within it, as is
     ``key``. Adds ``k`` (source), ``rn`` (row in the source) and ``out`` (row in the result). A
-    single source passes through in its own order. Sources are ordered by their keys alone, and
-    only rows up to the stopping point are read again.
+    single source passes through in its own order. A source is read, and whatever filters it has
+    are run, once for its keys; ordering looks at the written keys alone. Only rows up to the
+    stopping point are read a second time.
     """
     key = list(key or [order_by])
     narrow = [df.select(*dict.fromkeys([*key, order_by])) for df in sources]
-    places = ordinal(union_sources(narrow), [order_by], ["k"], out="rn")
+    places = ordinal(write_through(union_sources(narrow), "keys"), [order_by], ["k"], out="rn")
     if len(sources) == 1:
         kept = places.withColumn(out, F.col("rn"))
         return sources[0].withColumn("k", F.lit(0)).join(kept.select(*key, "k", "rn", out), [*key, "k"])

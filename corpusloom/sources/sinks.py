@@ -28,9 +28,10 @@ WER_TAG = "eval/wer"
 PREDICTIONS_TAG = "eval/predictions"
 
 
-def run_path(started: Column) -> Column:
-    """The date and time part of a run's output folder."""
-    return F.concat(F.lit("outputs/"), F.date_format(started, "yyyy-MM-dd/HH-mm-ss"))
+def run_path(started: Column, root: str = "outputs", job: Column | None = None) -> Column:
+    """A run's output folder; runs of a sweep have ``root="multirun"`` and a job number."""
+    folder = F.concat(F.lit(f"{root}/"), F.date_format(started, "yyyy-MM-dd/HH-mm-ss"))
+    return folder if job is None else F.concat(folder, F.lit("/"), job.cast("string"))
 
 
 def _append(df: DataFrame, schema: T.StructType, path: str) -> None:
