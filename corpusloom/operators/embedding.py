@@ -8,7 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.operators.lookup import head_rows_for, lookup_join, regroup
+from corpusloom.operators.lookup import COUNTED_KEYS, frequent_keys, head_rows_for, lookup_join, regroup
+from corpusloom.session import write_through
 
 # Fixed value: noise on a new vector as a share of the table's standard deviation.
 NEW_VECTOR_SCALE = 0.02
@@ -21,16 +22,20 @@ def embedding_gather(
     embeddings: DataFrame,
     dim: int,
     out: str = "embeds",
-    head: DataFrame | None = None,
+    ranked: bool = False,
 ) -> DataFrame:
     """``(keys, out)``: the vector of each id, in the order of the ids.
 
-    ``embeddings`` is ``(id, vector)``. Ids are taken to be ranks by use, as ``vocab_build``
-    gives them; for other ids pass the rows of the most used ones as ``head``.
+    ``embeddings`` is ``(id, vector)``. The vectors of the most used ids are broadcast. Those
+    ids are counted first, unless ids are ``ranked`` by use, as ``vocab_build`` gives them.
     """
-    if head is None:
-        head = embeddings.where(F.col("id") < head_rows_for(4 * dim))
     exploded = df.select(*keys, F.posexplode_outer(ids).alias("_at", "id"))
+    most = head_rows_for(4 * dim)
+    if ranked:
+        head = embeddings.where(F.col("id") < most)
+    else:
+        used = write_through(frequent_keys(exploded, "id", min(most, COUNTED_KEYS)), "used")
+        head = embeddings.join(F.broadcast(used), "id", "left_semi")
     found = lookup_join(exploded, embeddings.select("id", "vector"), "id", head)
     return regroup(found, keys, "_at", "vector", out)
 

@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 HEAD_ROWS = 50_000
 MOST_HEAD_BYTES = 64 * 1024 * 1024
 
+# Keys that are told apart by counting where ranks are not known.
+COUNTED_KEYS = 1000
+
 
 def head_rows_for(row_bytes: int) -> int:
     """How many lookup rows of this size may be broadcast."""

@@ -60,23 +60,34 @@ def token_lookup(df: DataFrame, vocab: DataFrame, token: str = "token") -> DataF
     return lookup_join(df, entries, token, _head(entries, token))
 
 
-def _head(entries: DataFrame, token: str) -> DataFrame:
-    """The most used tokens; only one that is long for its rank is left out."""
+def _head(entries: DataFrame, token: str, used: Sequence[str] = ()) -> DataFrame:
+    """The most used tokens; only one that is long for its rank is left out.
+
+    Special tokens come last in a vocabulary but may be in every sequence, so they belong here
+    as well, like the tokens of ``used``.
+    """
     most = F.greatest(F.lit(HEAD_TOKEN_BYTES), F.lit(HEAD_RANK_BYTES) / (F.col("id") + 1))
-    return entries.where((F.col("id") < lookup.HEAD_ROWS) & (F.octet_length(token) <= most))
+    ranked = (F.col("id") < lookup.HEAD_ROWS) & (F.octet_length(token) <= most)
+    return entries.where(ranked | F.col(token).isin(*AUDIO_TOKENS, PAD_TOKEN, *used))
 
 
 def encode_ids(
-    df: DataFrame, keys: Sequence[str], words: str, vocab: DataFrame, out: str = "ids"
+    df: DataFrame,
+    keys: Sequence[str],
+    words: str,
+    vocab: DataFrame,
+    out: str = "ids",
+    used: Sequence[str] = (),
 ) -> DataFrame:
     """``(keys, ids)``: each row's words as ids, in order; an unknown word has a NULL id.
 
     Ids are ranks by use, so the small ones cover most of a text and are looked up without a
-    shuffle.
+    shuffle. ``used`` names words that are frequent here whatever their rank, such as those of
+    a prompt.
     """
     exploded = df.select(*keys, F.posexplode_outer(words).alias("_at", "token"))
     entries = vocab.select("token", "id")
-    found = lookup_join(exploded, entries, "token", _head(entries, "token"))
+    found = lookup_join(exploded, entries, "token", _head(entries, "token", used))
     return regroup(found, keys, "_at", "id", out)
 
 
@@ -91,7 +102,7 @@ def decode_ids(
     """``(keys, text)``: ids back to words joined by spaces; ids of ``skip`` tokens leave none."""
     exploded = df.select(*keys, F.posexplode_outer(ids).alias("_at", "id"))
     entries = vocab.select("id", "token")
-    found = lookup_join(exploded, entries, "id", _head(entries, "token"))
+    found = lookup_join(exploded, entries, "id", _head(entries, "token", skip))
     if skip:
         found = found.withColumn("token", F.when(~F.col("token").isin(*skip), F.col("token")))
     grouped = regroup(found, keys, "_at", "token", out)

@@ -41,7 +41,9 @@ def collate(
     column is padded where it lies and joined by ``pos`` at the end.
     """
     words = df.select("batch_id", "pos", split_ws(instruction_text(F.col("text"), template)).alias("words"))
-    coded = encode_ids(words, ["batch_id", "pos"], "words", vocab, out="input_ids")
+    coded = encode_ids(
+        words, ["batch_id", "pos"], "words", vocab, out="input_ids", used=template.split()
+    )
     if max_tokens is not None:
         coded = coded.withColumn("input_ids", truncate_ids(F.col("input_ids"), max_tokens))
     padded = pad_longest(coded, "input_ids", 0 if pad_id is None else pad_id)
@@ -65,7 +67,7 @@ def splice_batch(
     dim: int,
     mask_mode: str = "reference",
     strict: bool = True,
-    head: DataFrame | None = None,
+    ranked: bool = False,
 ) -> DataFrame:
     """Vectors of token sequences with each row's own segment in place of the marker.
 
@@ -73,7 +75,7 @@ def splice_batch(
     ``mask_mode="strict"``; ``segments`` is ``(pos, segment)`` with an array of vectors;
     ``embeddings`` is ``(id, vector)``. In mode ``reference`` text padding counts as sequence, in
     mode ``strict`` it keeps its own mask. Without ``strict``, rows that lack the marker are left
-    out instead of raising an error. ``head`` is as for ``embedding_gather``.
+    out instead of raising an error. ``ranked`` is as for ``embedding_gather``.
     """
     if mask_mode not in ("reference", "strict"):
         raise ValueError(mask_mode)
@@ -93,7 +95,7 @@ def splice_batch(
         "batch_id", "pos", "_place", "_longest", labels.alias("labels"), own.alias("_mask")
     )
 
-    vectors = embedding_gather(sized, ["pos"], "input_ids", embeddings, dim, out="inputs_embeds", head=head)
+    vectors = embedding_gather(sized, ["pos"], "input_ids", embeddings, dim, out="inputs_embeds", ranked=ranked)
     spliced = (
         vectors.join(rows, "pos")
         .join(segments.select("pos", "segment"), "pos")

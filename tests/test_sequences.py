@@ -108,10 +108,18 @@ def test_long_tokens_do_not_swell_the_broadcast_part(spark):
     assert [r["id"] for r in V._head(entries, "token").collect()] == [0, 2]
 
 
-def test_gather_keeps_order(spark, head_rows):
+def test_special_tokens_are_looked_up_without_a_shuffle(spark, monkeypatch):
+    monkeypatch.setattr(lookup, "HEAD_ROWS", 1)
+    entries = spark.createDataFrame([("the", 0), ("a", 1), ("<|audio_chunk|>", 2), ("[PAD]", 3), ("User:", 4)], "token string, id bigint")
+    assert sorted(r["id"] for r in V._head(entries, "token", ["User:"]).collect()) == [0, 2, 3, 4]
+
+
+@pytest.mark.parametrize("ranked", [True, False])
+def test_gather_keeps_order(spark, head_rows, ranked, monkeypatch):
+    monkeypatch.setattr("corpusloom.operators.embedding.COUNTED_KEYS", 1)
     table = spark.createDataFrame([(i, [float(i), -float(i)]) for i in range(5)], "id bigint, vector array<float>")
     df = rows_of(spark, [4, 0, 4, 2], []).withColumnRenamed("id", "doc")
-    got = embedding_gather(df, ["doc"], "ids", table, 2)
+    got = embedding_gather(df, ["doc"], "ids", table, 2, ranked=ranked)
     assert [r["embeds"] for r in got.orderBy("doc").collect()] == [
         [[4.0, -4.0], [0.0, 0.0], [4.0, -4.0], [2.0, -2.0]], []
     ]
