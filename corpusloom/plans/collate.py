@@ -75,7 +75,8 @@ def splice_batch(
     ``mask_mode="strict"``; ``segments`` is ``(pos, segment)`` with an array of vectors;
     ``embeddings`` is ``(id, vector)``. In mode ``reference`` text padding counts as sequence, in
     mode ``strict`` it keeps its own mask. Without ``strict``, rows that lack the marker are left
-    out instead of raising an error. ``ranked`` is as for ``embedding_gather``.
+    out instead of raising an error. ``ranked`` is as for ``embedding_gather``. ``tokens`` is
+    read several times; write it first if it is costly to compute.
     """
     if mask_mode not in ("reference", "strict"):
         raise ValueError(mask_mode)
@@ -95,7 +96,7 @@ def splice_batch(
         "batch_id", "pos", "_place", "_longest", labels.alias("labels"), own.alias("_mask")
     )
 
-    vectors = embedding_gather(sized, ["pos"], "input_ids", embeddings, dim, out="inputs_embeds", ranked=ranked)
+    vectors = embedding_gather(marked, ["pos"], "input_ids", embeddings, dim, out="inputs_embeds", ranked=ranked)
     spliced = (
         vectors.join(rows, "pos")
         .join(segments.select("pos", "segment"), "pos")
