@@ -23,10 +23,11 @@ def embedding_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings(spark, sf_dir).select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
 
 
-def weighted_sum(values: Column) -> Column:
-    """A sum that changes if any value changes its place."""
+def weighted_sum(values: Column, share: Column | None = None) -> Column:
+    """A sum that changes if any value changes its place, or a share of it."""
     weighted = F.transform(values, lambda x, i: x.cast("double") * (i + 1))
-    return F.round(F.aggregate(weighted, F.lit(0.0), lambda acc, x: acc + x), 4)
+    total = F.aggregate(weighted, F.lit(0.0), lambda acc, x: acc + x)
+    return F.round(total if share is None else total / share, 4)
 
 
 @query(
@@ -179,11 +180,12 @@ def pad_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
     points as (select doc_id, a, unnest(range(0, (len(a) * 16000 + 23999) // 24000)) as i from sounds),
     mixed as (select doc_id, i, (i * 24000 % 16000) / 16000.0::double as part,
       cast(a[i * 24000 // 16000 + 1] as double) as l, cast(a[least(i * 24000 // 16000 + 2, len(a))] as double) as r from points)
-    select doc_id, count(*) as n, round(sum((l * (1 - part) + r * part) * (i + 1)), 4) as total from mixed group by doc_id""",
+    select doc_id, count(*) as n, round(sum((l * (1 - part) + r * part) * (i + 1)) / count(*), 4) as total from mixed group by doc_id""",
 )
 def resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sounds(spark, sf_dir).select("doc_id", A.resample_long(F.col("a"), 24000, 16000).alias("r"))
-    return rows.select("doc_id", F.size("r").cast("bigint").alias("n"), weighted_sum(F.col("r")).alias("total"))
+    n = F.size("r").cast("bigint")
+    return rows.select("doc_id", n.alias("n"), weighted_sum(F.col("r"), n).alias("total"))
 
 
 @query(

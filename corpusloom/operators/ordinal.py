@@ -25,7 +25,8 @@ def ordinal(
     Equal to ``row_number()`` over the same partitioning and order, for an order without ties.
     Rows are spread by ranges of (group, order), so a group of any size is split over many
     tasks. The sorted rows are written once; what joins them afterwards is one start value per
-    (range, group). Pass key columns only and join wide rows back by key.
+    (range, group). Pass key columns only and join wide rows back by key. ``df`` is run twice, for
+    the bounds of the ranges and for its rows, so write it first if it is costly to compute.
     """
     spark = df.sparkSession
     groups = list(partition_by)

@@ -103,6 +103,31 @@ def test_vocabulary(spark, head_rows):
     assert found == {"the": 0, "nowhere": None, None: None}
 
 
+def test_hot_unknown_word_is_split_at_run_time(spark):
+    """A third of all words is one that the vocabulary lacks, so nothing broadcast has it."""
+    settings = {
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    token = F.when(F.col("id") % 3 == 0, F.lit("unknown")).otherwise(F.concat(F.lit("t"), F.col("id") % 5000))
+    facts = spark.range(0, 400_000, 1, 8).select(F.col("id").alias("row"), token.alias("token"))
+    table = spark.range(5000).select(F.concat(F.lit("t"), F.col("id")).alias("token"), "id")
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        out = lookup.lookup_join(facts, table, "token", table.where("id < 10"))
+        rows = out.groupBy(F.col("id").isNull().alias("unknown")).agg(F.countDistinct("row").alias("n"))
+        assert {r["unknown"]: r["n"] for r in rows.collect()} == {True: 133_334, False: 266_666}
+        assert "skew=true" in rows._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def test_long_tokens_do_not_swell_the_broadcast_part(spark):
     entries = spark.createDataFrame([("a" * 3_000_000, 0), ("b" * 3_000_000, 1), ("c", 2)], "token string, id bigint")
     assert [r["id"] for r in V._head(entries, "token").collect()] == [0, 2]
