@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Rows of a lookup table that are broadcast for its most used keys.
 HEAD_ROWS = 50_000
 MOST_HEAD_BYTES = 64 * 1024 * 1024
 
+# Stands for a missing id where ids travel with their place.
+NO_ID = (1 << 32) - 1
+
 # Keys that are told apart by counting where ranks are not known.
 COUNTED_KEYS = 1000
 
@@ -55,3 +58,27 @@ def regroup(df: DataFrame, keys: Sequence[str], pos: str, value: str, out: str)
         .agg(F.sort_array(F.collect_list(pair)).alias("_pairs"))
         .select(*keys, F.col(f"_pairs.{value}").alias(out))
     )
+
+
+def regroup_ids(df: DataFrame, keys: Sequence[str], pos: str, value: str, out: str) -> DataFrame:
+    """``regroup`` for ids from 0 to 2^32 - 2, which travel with their place in one number.
+
+    That is a quarter of what a pair takes in the shuffle, and numbers are sorted much faster.
+    """
+    code = (
+        F.when(F.col(value).isNull(), F.lit(NO_ID))
+        .when(F.col(value).between(0, NO_ID - 1), F.col(value))
+        .otherwise(F.raise_error(F.lit("id out of range")).cast("bigint"))
+    )
+    packed = F.shiftleft(F.col(pos).cast("bigint"), 32) + code
+    collected = F.sort_array(F.collect_list(F.when(F.col(pos).isNotNull(), packed)))
+
+    def unpacked(number: Column) -> Column:
+        low = number.bitwiseAND(F.lit(NO_ID))
+        return F.when(low != NO_ID, low)
+
+    return (
+        df.groupBy(*keys)
+        .agg(collected.alias("_packed"))
+        .select(*keys, F.transform("_packed", unpacked).alias(out))
+    )

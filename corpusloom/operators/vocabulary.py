@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.operators import lookup
-from corpusloom.operators.lookup import lookup_join, regroup
+from corpusloom.operators.lookup import lookup_join, regroup, regroup_ids
 from corpusloom.operators.ordinal import ordinal
 
 # The audio tokens and the padding token a vocabulary needs.
@@ -88,7 +88,7 @@ def encode_ids(
     exploded = df.select(*keys, F.posexplode_outer(words).alias("_at", "token"))
     entries = vocab.select("token", "id")
     found = lookup_join(exploded, entries, "token", _head(entries, "token", used))
-    return regroup(found, keys, "_at", "id", out)
+    return regroup_ids(found, keys, "_at", "id", out)
 
 
 def decode_ids(

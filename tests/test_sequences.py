@@ -128,6 +128,16 @@ def test_hot_unknown_word_is_split_at_run_time(spark):
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
+def test_ids_keep_their_place_and_range(spark):
+    most = lookup.NO_ID - 1
+    rows = [(1, 2, 7), (1, 0, most), (1, 1, None), (2, None, None), (3, 100_000, 0), (3, 5, 1)]
+    df = spark.createDataFrame(rows, "doc bigint, at int, id bigint")
+    got = lookup.regroup_ids(df, ["doc"], "at", "id", "ids").orderBy("doc").collect()
+    assert [r["ids"] for r in got] == [[most, None, 7], [], [1, 0]]
+    with pytest.raises(PySparkException, match="out of range"):
+        lookup.regroup_ids(df.withColumn("id", F.col("id") + 1), ["doc"], "at", "id", "ids").collect()
+
+
 def test_long_tokens_do_not_swell_the_broadcast_part(spark):
     entries = spark.createDataFrame([("a" * 3_000_000, 0), ("b" * 3_000_000, 1), ("c", 2)], "token string, id bigint")
     assert [r["id"] for r in V._head(entries, "token").collect()] == [0, 2]
