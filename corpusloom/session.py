@@ -23,6 +23,8 @@ def build_session(app_name: str = "corpusloom", master: str | None = None, **con
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # Hash instead of sort where every partition of one side was seen to be this small.
+        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.showConsoleProgress": "false",
         **conf,
