@@ -4,8 +4,9 @@ import os
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from check import connect, difference
+from corpusloom.catalog import QUERIES, SQL
 
 FOLDER = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
 
@@ -22,24 +23,24 @@ def built(spark, small):
 
     def build(name):
         if name not in made:
-            made[name] = queries()[name](spark, FOLDER)
+            made[name] = QUERIES[name](spark, FOLDER)
         return made[name]
 
     return build
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_equals_sql(built, con, name):
-    assert difference(built(name), con.sql(oracle_sql()[name])) is None
+    assert difference(built(name), con.sql(SQL[name])) is None
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - set(oracle_sql())))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
 def test_without_sql_gives_rows(built, name):
     assert built(name).collect()
 
 
-def test_sql_belongs_to_queries():
-    assert set(oracle_sql()) <= set(queries())
+def test_sql_belongs_to_QUERIES:
+    assert set(SQL) <= set(QUERIES)
 
 
 def test_entry(spark, small):
@@ -65,7 +66,7 @@ def test_stays_in_the_jvm(built, name):
     assert "Python" not in text and "ArrowEval" not in text
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_has_no_cross_join(built, name):
     text = plan(built(name))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
