@@ -5,15 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import documents, table, word_count
+from corpusloom.llm.common import crc_remainder, documents, table, word_count, write_through
 from corpusloom.llm.decontaminate import benchmark_leaks
+from corpusloom.llm.language import fit_language_model, identify_language
 from corpusloom.llm.mixing import mix_sources
+from corpusloom.llm.quality_model import fit_quality_model, quality_score
+from corpusloom.llm.quality_rules import GRIDS, STATISTICS, add_statistics, base_failed, learn_rules, verdict
 from corpusloom.llm.secrets import joined_spans, secret_spans
 from corpusloom.llm.tokens import token_count
 from corpusloom.llm.urls import judge_url, url_host, url_path
 
 BASE_KINDS = ("assign", "access", "hex")
 MOST_TOKENS = 512
+LEAST_QUALITY = 0.3
 URL_RULES = [
     ("com", "/", "allow"),
     ("example.com", "/en/", "block"),
@@ -65,6 +69,40 @@ def op4_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "leak.*")
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of every document and the verdict of the base rules and the learned ones."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    columns = ["doc_id", *dict.fromkeys([*STATISTICS, *GRIDS])]
+    measured = write_through(add_statistics(docs).select(*columns), "statistics")
+    marks = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    rules = learn_rules(measured.where(~base_failed()).join(marks, "doc_id"), "quality")
+    judged = measured.withColumn("base_failed", base_failed())
+    return judged.select("doc_id", *STATISTICS, "base_failed", (~F.col("base_failed") & verdict(rules)).alias("kept"))
+
+
+def op6_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from three quarters of them."""
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    held_out = crc_remainder(F.col("doc_id"), 4) == 2
+    model = fit_language_model(docs.where(~held_out))
+    found = docs.select(
+        "doc_id", held_out.alias("held_out"), identify_language(spark, F.col("text"), model).alias("found")
+    )
+    return found.select("doc_id", "held_out", F.col("found.lang").alias("lang_pred"), "found.score")
+
+
+def op9_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality score of every document, learned from four fifths of the labels."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    held_out = crc_remainder(F.col("doc_id"), 5) == 0
+    marks = table(spark, sf_dir, "labels").where(~held_out)
+    model = fit_quality_model(docs.where(~held_out), marks, "quality")
+    scored = docs.select(
+        "doc_id", held_out.alias("held_out"), quality_score(spark, F.col("text"), model).alias("score")
+    )
+    return scored.withColumn("predicted", F.when(F.col("score") >= LEAST_QUALITY, 1).otherwise(0))
+
+
 def op10_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The verdict on every page's url."""
     parts = table(spark, sf_dir, "pages").select("page_id", url_host(F.col("url")).alias("host"), url_path(F.col("url")).alias("path"))
@@ -96,6 +134,6 @@ select page_id, host, path, rule, coalesce(verdict, 'allow') as verdict from fit
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_mix_sources, op2_secrets, op3_token_counts, op4_benchmark_leaks, op10_url_verdicts)
+    for f in (op1_mix_sources, op2_secrets, op3_token_counts, op4_benchmark_leaks, op5_quality_rules, op6_languages, op9_quality_scores, op10_url_verdicts)
 }
 SQL = {"op10_url_verdicts": OP10_SQL}
