@@ -9,6 +9,7 @@ from corpusloom.llm.common import crc_remainder, documents, table, word_count, w
 from corpusloom.llm.decontaminate import benchmark_leaks
 from corpusloom.llm.language import fit_language_model, identify_language
 from corpusloom.llm.mixing import mix_sources
+from corpusloom.llm.neardup import near_duplicates
 from corpusloom.llm.quality_model import fit_quality_model, quality_score
 from corpusloom.llm.quality_rules import GRIDS, STATISTICS, add_statistics, base_failed, learn_rules, verdict
 from corpusloom.llm.secrets import joined_spans, secret_spans
@@ -91,6 +92,11 @@ def op6_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", F.col("found.lang").alias("lang_pred"), "found.score")
 
 
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate component of every document: three-word shingles, similarity of 85 % or more."""
+    return near_duplicates(documents(spark, sf_dir).select("doc_id", "text"), shingle_words=3, percent=85)
+
+
 def op9_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The quality score of every document, learned from four fifths of the labels."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
@@ -134,6 +140,6 @@ select page_id, host, path, rule, coalesce(verdict, 'allow') as verdict from fit
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_mix_sources, op2_secrets, op3_token_counts, op4_benchmark_leaks, op5_quality_rules, op6_languages, op9_quality_scores, op10_url_verdicts)
+    for f in (op1_mix_sources, op2_secrets, op3_token_counts, op4_benchmark_leaks, op5_quality_rules, op6_languages, op8_near_duplicates, op9_quality_scores, op10_url_verdicts)
 }
 SQL = {"op10_url_verdicts": OP10_SQL}
