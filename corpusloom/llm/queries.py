@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from corpusloom.llm.common import crc_remainder, documents, table, word_count, write_through
 from corpusloom.llm.decontaminate import benchmark_leaks
 from corpusloom.llm.language import fit_language_model, identify_language
+from corpusloom.llm.licences import licence_scan
+from corpusloom.llm.licences import oracle_sql as licence_sql
 from corpusloom.llm.mixing import mix_sources
 from corpusloom.llm.neardup import near_duplicates
 from corpusloom.llm.quality_model import fit_quality_model, quality_score
@@ -92,6 +94,17 @@ def op6_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", F.col("found.lang").alias("lang_pred"), "found.score")
 
 
+def op7_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The licences of every document and the known licence sentences in it."""
+    found = documents(spark, sf_dir).select("doc_id", licence_scan(F.col("text")).alias("found"))
+    return found.select(
+        "doc_id",
+        F.size("found.sentences").cast("long").alias("n_sentences"),
+        F.array_join("found.sentences", ",").alias("sentences"),
+        F.array_join("found.licences", ",").alias("licences"),
+    )
+
+
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The near-duplicate component of every document: three-word shingles, similarity of 85 % or more."""
     return near_duplicates(documents(spark, sf_dir).select("doc_id", "text"), shingle_words=3, percent=85)
@@ -140,6 +153,6 @@ select page_id, host, path, rule, coalesce(verdict, 'allow') as verdict from fit
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_mix_sources, op2_secrets, op3_token_counts, op4_benchmark_leaks, op5_quality_rules, op6_languages, op8_near_duplicates, op9_quality_scores, op10_url_verdicts)
+    for f in (op1_mix_sources, op2_secrets, op3_token_counts, op4_benchmark_leaks, op5_quality_rules, op6_languages, op7_licences, op8_near_duplicates, op9_quality_scores, op10_url_verdicts)
 }
-SQL = {"op10_url_verdicts": OP10_SQL}
+SQL = {"op7_licences": licence_sql(), "op10_url_verdicts": OP10_SQL}
