@@ -7,7 +7,8 @@ of words, until they are 0 or 1: any three undecided documents of a source have
 changes neither total, and a step along it to the border of the unit cube decides at least one of
 them. At most two documents of a group stay undecided. Those of all groups are dealt into fewer
 groups and go on, until one group per source is left, whose last few documents are the landing
-problem: all their outcomes are tried and the one nearest to both totals is taken.
+problem: all their outcomes are tried, the one nearest to both totals is taken, and what is left of
+the difference is mended with a few small documents of that last group.
 
 Groups are formed by source and a hash of the document's id, never by where a row lies, so a rerun on
 another cluster gives the same mix, and a source that holds most of the rows is spread over many
@@ -16,9 +17,10 @@ groups of the same size as any other's. Only ids and sizes are shuffled, never t
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import itertools
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -105,8 +107,14 @@ def flight(odds: Sequence[float], sizes: Sequence[float], seed: int) -> list[flo
     return result
 
 
-def landing(odds: Sequence[float], sizes: Sequence[float]) -> list[float]:
-    """Decide the last few documents: the outcome whose words, then number, are nearest to what was due."""
+def landing(odds: Sequence[float], sizes: Sequence[float], start: Sequence[float]) -> list[float]:
+    """Decide the last few documents: the outcome whose words, then number, are nearest to what was due.
+
+    What is still missing or too much then is mended with documents that the flight has decided:
+    from large to small, one changes sides if that brings the words nearer; then pairs change
+    places while that does. ``start`` holds the probabilities before the flight; documents that
+    had none to lose or win stay as they are.
+    """
     last = [i for i, p in enumerate(odds) if 0 < p < 1]
     words, number = sum(odds[i] * sizes[i] for i in last), sum(odds[i] for i in last)
     best = min(
@@ -120,9 +128,34 @@ def landing(odds: Sequence[float], sizes: Sequence[float]) -> list[float]:
     result = list(odds)
     for i, end in zip(last, best):
         result[i] = end
+    due = sum(p * n for p, n in zip(start, sizes)) - sum(p * n for p, n in zip(result, sizes))
+    for i in sorted(range(len(sizes)), key=lambda i: -sizes[i]):
+        change = sizes[i] * (1 - 2 * result[i])
+        if 0 < start[i] < 1 and abs(due - change) < abs(due):
+            result[i], due = 1 - result[i], due - change
+    while pair := _nearest_swap(result, sizes, start, due):
+        out, into = pair
+        result[out], result[into] = 0.0, 1.0
+        due -= sizes[into] - sizes[out]
     return result
 
 
+def _nearest_swap(
+    odds: Sequence[float], sizes: Sequence[float], start: Sequence[float], due: float
+) -> tuple[int, int] | None:
+    """The taken and the untaken document whose swap brings the words nearest to what is due, if any does."""
+    free = [i for i, p in enumerate(start) if 0 < p < 1]
+    untaken = sorted((sizes[i], i) for i in free if odds[i] == 0)
+    best, pair = abs(due), None
+    for out in (i for i in free if odds[i] == 1):
+        at = bisect.bisect_left(untaken, (sizes[out] + due, -1))
+        for size, into in untaken[max(0, at - 1) : at + 1]:
+            left = abs(due - (size - sizes[out]))
+            if left < best - 1e-9:
+                best, pair = left, (out, into)
+    return pair
+
+
 def _seed(text: str) -> int:
     return int.from_bytes(hashlib.blake2b(text.encode(), digest_size=4).digest(), "big")
 
@@ -130,9 +163,10 @@ def _seed(text: str) -> int:
 def _balance(key: str, size: str, odds: str, part: str, parts: str, seed: int):
     def balanced(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values([size, "_mix", key], ascending=[False, True, True], kind="stable", na_position="last")
-        values = flight(frame[odds].tolist(), frame[size].tolist(), _seed(f"{seed}/{frame[part].iat[0]}"))
+        start, sizes = frame[odds].tolist(), frame[size].tolist()
+        values = flight(start, sizes, _seed(f"{seed}/{frame[part].iat[0]}"))
         if frame[parts].iat[0] == 1:
-            values = landing(values, frame[size].tolist())
+            values = landing(values, sizes, start)
         frame[odds] = values
         return frame
 
