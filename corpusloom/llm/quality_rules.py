@@ -118,7 +118,7 @@ def add_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     def share(part: str, whole: str) -> Column:
         return F.when(F.col(whole) > 0, F.col(part) / F.col(whole)).otherwise(F.lit(0.0))
 
-    return six.withColumns({
+    measured = six.withColumns({
         "mean_word": share("word_chars", "n_words"),
         "symbol_share": share("n_symbols", "word_chars"),
         "dup_line_share": share("n_dup_lines", "_n_lines"),
@@ -126,7 +126,12 @@ def add_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
         "upper_share": share("_upper", "word_chars"),
         "digit_share": share("_digits", "word_chars"),
         "mark_share": share("_marks", "word_chars"),
-    }).drop("_words", "_lines", "_upper", "_digits", "_marks", "_n_lines", "_windows", "_near", "_places")
+    })
+    names = list(dict.fromkeys([*STATISTICS, *GRIDS]))
+    # A generator of one row keeps a later filter from being pushed below, where it would compute all of this again.
+    return measured.select(
+        *[c for c in docs.columns if c not in names], F.inline(F.array(F.struct(*names)))
+    )
 
 
 def base_failed() -> Column:
