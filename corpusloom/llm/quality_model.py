@@ -26,7 +26,9 @@ BUCKET_BITS = 17
 NGRAMS = (2, 3)
 DIMENSION = 8
 EPOCHS = 4
-BATCH = 32
+BATCH = 16
+# Small samples are gone through more often, until there were so many steps.
+LEAST_STEPS = 500
 RATE = 0.5
 # Labelled texts that are learned from, the size of the longest of them, and words that a scoring worker keeps.
 MOST_TEXTS = 2500
@@ -117,10 +119,11 @@ def train(texts: list[str | None], labels: list[int], seed: int = 1) -> QualityM
     buckets, counts = word_features(list(known))
     starts = np.cumsum(counts) - counts
     batches = -(-n // BATCH)
-    for step in range(EPOCHS * batches):
+    steps = max(EPOCHS, -(-LEAST_STEPS // batches)) * batches
+    for step in range(steps):
         if step % batches == 0:
             order = random.permutation(n)
-        rate = RATE * (1 - step / (EPOCHS * batches))
+        rate = RATE * (1 - step / steps)
         rows = order[step % batches * BATCH : (step % batches + 1) * BATCH]
         ids = np.concatenate([bags[r][0] for r in rows])
         times = np.concatenate([bags[r][1] for r in rows])
