@@ -1,0 +1,63 @@
+"""Held-out accuracy, blocks that do not matter, and odd rows."""
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from corpusloom.llm import language
+from corpusloom.llm.language import fit_language_model, identify_language, letters
+from corpusloom.llm.queries import op6_languages
+
+KIND = "doc_id long, text string, lang string, score int"
+ROWS = [
+    *[(i, "the cat and the dog are here with that thing", "en", 0) for i in range(20)],
+    *[(100 + i, "der hund und die katze sind nicht auf dem tisch", "de", 0) for i in range(20)],
+    (200, None, "en", 0), (201, "", "en", 0), (202, "the dog", None, 0), (None, "das ist die katze", "de", 0), (203, "12 34 !!", "de", 0),
+]
+
+
+def model(spark, rows=ROWS):
+    return fit_language_model(spark.createDataFrame(rows, KIND))
+
+
+def test_small_model(spark):
+    known = model(spark)
+    assert known.names == ["de", "en"]
+    texts = ["und der tisch", "with the thing", None, "", "123 -", "THE Dog " * 200_000]
+    df = spark.createDataFrame([(i, t, None, 5) for i, t in enumerate(texts)] * 2, KIND)
+    got = df.select("doc_id", identify_language(spark, F.col("text"), known).alias("x")).collect()
+    assert len(got) == 2 * len(texts)
+    of = {r["doc_id"]: (r["x"]["lang"], r["x"]["score"]) for r in got}
+    assert [of[i][0] for i in range(6)] == ["de", "en", "und", "und", "und", "en"]
+    assert all(0 <= s <= 1 for _, s in of.values()) and of[2][1] == 0 and of[0][1] > 0.9
+
+
+def test_blocks_do_not_matter(spark, monkeypatch):
+    known = model(spark)
+    texts = ["the cat", "", None, "der hund und die katze", "x"] * 3
+    whole = known.predict(texts)
+    one = [known.predict([t])[0] for t in texts]
+    monkeypatch.setattr(language, "BLOCK_CHARS", 5)
+    parts = known.predict(texts)
+    for other in (one, parts):
+        assert [a for a, _ in whole] == [a for a, _ in other]
+        assert np.allclose([b for _, b in whole], [b for _, b in other])
+
+
+def test_nothing_to_learn_from(spark):
+    known = model(spark, [(1, "abc", None, 0), (2, "abc", None, 0)])
+    assert known.predict(["abc", None]) == [("und", 0.0)] * 2
+    assert model(spark, []).names == []
+    assert fit_language_model(spark.createDataFrame(ROWS, KIND).where("lang = 'en'")).predict(["zzz"])[0][0] == "en"
+
+
+def test_letters():
+    assert letters("Ab1c--É_f  ") == "ab c é f" and letters("²3 ") in ("", "²") and letters(None) == ""
+
+
+def test_held_out_accuracy(spark, small):
+    found = op6_languages(spark, small)
+    assert found.dtypes == [("doc_id", "bigint"), ("held_out", "boolean"), ("lang_pred", "string"), ("score", "double")]
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    rows = found.join(docs, "doc_id").where("held_out").select("lang", "lang_pred").collect()
+    assert found.count() == docs.count()
+    assert sum(r["lang"] == r["lang_pred"] for r in rows) >= 0.97 * len(rows)
