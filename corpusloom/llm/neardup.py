@@ -1,23 +1,23 @@
 """Near-duplicate documents by a MinHash LSH forest, confirmed on full shingle sets.
 
 Each document has a set of word shingles. Documents of equal sets are one node, whatever their
-number. A node's MinHash signature is cut into labels, one per tree of the forest, and each tree is
-one sorted order of the nodes by label. In sorted order the neighbours of a node are those with
-the longest common prefix. Candidates are a node and the next few nodes that share at least
-``LEAST_DEPTH`` values of the label with it: where few nodes share so much, all of them are
-candidates; in a crowded region the next ones are those that share more, so the depth adapts to the
-region, and the number of candidates grows with the nodes and never with the square of a region. The
+number. Each tree of the forest is one sorted order of the nodes by a label, a stretch of their MinHash
+signature that begins elsewhere in each tree. In sorted order the neighbours of a node are those with
+the longest common prefix. A node is compared with up to ``WINDOW`` rows on either side that share at
+least ``LEAST_DEPTH`` values of the label with it: where few nodes share so much, these are all of
+them; in a crowded region they are those that share more, so the depth adapts to the region. A
+sketch of the signature, carried along, ranks them, and the best ``NEIGHBOURS`` that may be similar
+enough are candidates. Their number grows with the nodes, never with the square of a region. The
 orders are made by range partitioning on (tree, label, node), so a region of any size is spread over
 as many tasks as it needs.
 
-A sketch of the signature, carried along, turns down candidates that cannot be similar enough. The
-others are confirmed on the full sets, in two rounds: first the most promising candidate of each
-node, then all those whose ends are not connected yet; a candidate whose ends are connected
-already could not change any component.
+Candidates are confirmed on the full sets: first the most promising one of each node, then those
+whose ends are not connected yet; one whose ends are connected already could not change any
+component. Nodes with more neighbours than could be candidates go through the forest again, now
+only against nodes of other components, until a round connects nothing more.
 
-The chance that a pair at exactly the threshold of 0.85 meets in none of 16 trees of depth 4 is
-below one in 100,000, and it falls with similarity; in regions so crowded that the depth adapts,
-components are still found through any chain of links.
+The chance that a pair at exactly the threshold of 0.85 meets in none of 16 trees at depth 4 is
+below one in 100,000, and it falls with similarity.
 """
 
 from __future__ import annotations
@@ -34,12 +34,12 @@ from pyspark.sql import functions as F
 from corpusloom.llm.common import write_through
 from corpusloom.llm.components import connected_components
 
-TREES, DEPTH, LEAST_DEPTH = 16, 8, 4
-# The following nodes in a sorted order that are candidates.
-NEIGHBOURS = 8
-_HASHES = TREES * DEPTH
-# Of the 64 sketch values; similar enough sets agree in 54 on average, with a deviation of 2.9.
-SKETCH = 64
+TREES, LEAST_DEPTH = 16, 4
+# Values of a label, and how far the labels of two trees begin apart.
+DEPTH, STRIDE = 16, 8
+# Rows on either side that a node is compared with in each tree, and how many of them are candidates.
+WINDOW, NEIGHBOURS = 64, 8
+_HASHES = TREES * STRIDE
 # Ids whose texts are confirmed are broadcast up to this number, else joined by shuffle.
 MOST_BROADCAST_IDS = 4_000_000
 # Hashes of words that a worker keeps.
@@ -111,15 +111,27 @@ def _described(words: int):
                     continue
                 digest = hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
                 columns[2].append(_signed(digest[:8])), columns[3].append(_signed(digest[8:]))
-                columns[4].append(signature(shingles).tobytes())
+                values = signature(shingles)
+                columns[4].append(values.tobytes() + values.view(np.uint8)[1::2].tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, kind)], schema=kind)
 
     return describe, "doc_id long, n long, d1 long, d2 long, sig binary"
 
 
 def _neighbours(percent: int, least_match: int):
-    """Candidate pairs among rows (tree, label, node, n, sketch) that come in sorted order."""
-    names = ("tree", "label", "node", "n", "sketch")
+    """Candidate pairs (a, b, match) among rows (tree, label, node, component, n, sketch) that come in sorted order.
+
+    A row (a, null, 0) says that the node has more neighbours than could be candidates.
+    """
+    names = ("tree", "label", "node", "component", "n", "sketch")
+
+    def best_of(mine: np.ndarray, other: np.ndarray, match: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the pairs are among the best of ``mine``, and which rows have more than that."""
+        order = np.lexsort((other, -match, mine))
+        first = np.flatnonzero(np.r_[True, np.diff(mine[order]) != 0])
+        counts = np.diff(np.r_[first, len(order)])
+        rank = np.arange(len(order)) - np.repeat(first, counts)
+        return order[rank < NEIGHBOURS], mine[order[first[counts > NEIGHBOURS]]]
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tail = None
@@ -131,38 +143,53 @@ def _neighbours(percent: int, least_match: int):
             def fixed(i: int, width: int) -> np.ndarray:
                 return np.frombuffer(b"".join(batch.column(i).to_pylist()), dtype=np.uint8).reshape(rows, width)
 
-            new = {
-                "tree": batch.column(0).to_numpy(zero_copy_only=False),
-                "label": fixed(1, 2 * DEPTH),
-                "node": batch.column(2).to_numpy(zero_copy_only=False),
-                "n": batch.column(3).to_numpy(zero_copy_only=False),
-                "sketch": fixed(4, SKETCH),
-            }
+            new = {k: batch.column(i).to_numpy(zero_copy_only=False) for i, k in enumerate(names) if i not in (1, 5)}
+            new |= {"label": fixed(1, 2 * DEPTH), "sketch": fixed(5, _HASHES)}
             held = 0 if tail is None else len(tail["node"])
             now = new if tail is None else {k: np.concatenate([tail[k], new[k]]) for k in names}
+            tail = {k: v[-WINDOW:] for k, v in now.items()}
             prefix = np.ascontiguousarray(now["label"][:, : 2 * LEAST_DEPTH]).view(np.uint64)[:, 0]
-            found = []
-            for step in range(1, NEIGHBOURS + 1):
-                left, right = slice(0, len(prefix) - step), slice(step, len(prefix))
-                if len(prefix) <= step:
-                    break
-                near = (prefix[left] == prefix[right]) & (now["tree"][left] == now["tree"][right])
-                a, b = now["n"][left], now["n"][right]
-                near &= 100 * np.minimum(a, b) >= percent * np.maximum(a, b)
-                at = np.flatnonzero(near)
+            same_as_next = np.r_[(prefix[1:] == prefix[:-1]) & (now["tree"][1:] == now["tree"][:-1]), False]
+            # How many rows from this one on share its prefix: equal ones are next to each other.
+            ends = np.flatnonzero(~same_as_next)
+            length = ends[np.searchsorted(ends, np.arange(len(prefix)))] - np.arange(len(prefix))
+            found, crowded = [], []
+            for step in range(1, WINDOW + 1):
+                at = np.flatnonzero(length >= step)
                 # Pairs within the held rows came with the batch before.
                 at = at[at + step >= held]
-                match = (now["sketch"][at] == now["sketch"][at + step]).sum(axis=1)
-                at, match = at[match >= least_match], match[match >= least_match]
-                x, y = now["node"][at], now["node"][at + step]
-                found.append((np.minimum(x, y), np.maximum(x, y), match, x != y))
-            tail = {k: v[-NEIGHBOURS:] for k, v in now.items()}
-            if found:
-                a, b, match, real = (np.concatenate(c) for c in zip(*found))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(a[real], pa.int64()), pa.array(b[real], pa.int64()), pa.array(match[real], pa.int32())],
-                    ["a", "b", "match"],
-                )
+                if not len(at):
+                    if not (length >= step).any():
+                        break
+                    continue
+                to = at + step
+                a, b = now["n"][at], now["n"][to]
+                near = 100 * np.minimum(a, b) >= percent * np.maximum(a, b)
+                near &= now["component"][at] != now["component"][to]
+                at, to = at[near], to[near]
+                match = (now["sketch"][at] == now["sketch"][to]).sum(axis=1)
+                enough = match >= least_match
+                found.append((at[enough], to[enough], match[enough]))
+                if step == WINDOW:
+                    crowded.append(at[enough])
+            if not found:
+                continue
+            at, to, match = (np.concatenate(c) for c in zip(*found))
+            if not len(at):
+                continue
+            left, more_left = best_of(at, to, match)
+            right, more_right = best_of(to, at, match)
+            kept = np.union1d(left, right)
+            x, y = now["node"][at[kept]], now["node"][to[kept]]
+            more = now["node"][np.unique(np.concatenate([more_left, more_right, *crowded]))]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.concatenate([np.minimum(x, y), more]), pa.int64()),
+                    pa.array(np.concatenate([np.maximum(x, y), more]), pa.int64(), mask=np.arange(len(x) + len(more)) >= len(x)),
+                    pa.array(np.concatenate([match[kept], np.zeros(len(more), dtype=match.dtype)]), pa.int32()),
+                ],
+                ["a", "b", "match"],
+            )
 
     return pairs, "a long, b long, match int"
 
@@ -201,6 +228,57 @@ def _linked(texts: DataFrame, pairs: DataFrame, words: int, percent: int) -> Dat
     return write_through(sure.where("_sure").select("a", "b"), "confirmed-links")
 
 
+def _candidates(nodes: DataFrame, found: DataFrame | None, percent: int) -> DataFrame:
+    """Candidate pairs (a, b, match) of one pass through the forest, and rows (a, null, 0) for crowded nodes."""
+    if found is None:
+        placed = nodes.withColumn("component", F.col("node"))
+    else:
+        placed = nodes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    values = F.substring("sig", 1, 2 * _HASHES)
+    twice = F.concat(values, values)
+    labels = [F.substring(twice, 2 * STRIDE * t + 1, 2 * DEPTH) for t in range(TREES)]
+    rows = placed.select(
+        F.posexplode(F.array(*labels)).alias("tree", "label"),
+        "node",
+        "component",
+        "n",
+        # The sketch: one byte of each value.
+        F.substring("sig", 2 * _HASHES + 1, _HASHES).alias("sketch"),
+    )
+    deviation = (_HASHES * percent / 100 * (1 - percent / 100)) ** 0.5
+    pairs, kind = _neighbours(percent, int(_HASHES * percent / 100 - 5 * deviation))
+    ordered = rows.repartitionByRange("tree", "label", "node").sortWithinPartitions("tree", "label", "node")
+    return write_through(
+        ordered.mapInArrow(pairs, kind).groupBy("a", "b").agg(F.max("match").alias("match")), "candidates"
+    )
+
+
+def _link_nodes(texts: DataFrame, nodes: DataFrame, words: int, percent: int) -> DataFrame:
+    """(node, component) of linked nodes."""
+    found = links = None
+    while True:
+        seen = _candidates(nodes, found, percent)
+        pairs = seen.where("b is not null")
+        crowded = write_through(seen.where("b is null").select(F.col("a").alias("node")), "crowded")
+        first = found is None
+        best = pairs.groupBy("b").agg(F.max(F.struct("match", (-F.col("a")).alias("_minus"))).alias("x"))
+        best = write_through(best.select((-F.col("x._minus")).alias("a"), "b"), "best")
+        new = _linked(texts, best, words, percent)
+        links = new if links is None else links.unionByName(new)
+        found = connected_components(links, "a", "b")
+        end_a, end_b = (found.select(F.col("node").alias(c), F.col("component").alias(f"_{c}")) for c in "ab")
+        apart = pairs.join(best, ["a", "b"], "left_anti").join(end_a, "a", "left").join(end_b, "b", "left")
+        apart = apart.where(F.coalesce("_a", "a") != F.coalesce("_b", "b")).select("a", "b")
+        more = _linked(texts, write_through(apart, "apart"), words, percent)
+        if not more.isEmpty():
+            links = links.unionByName(more)
+            found = connected_components(links, "a", "b")
+        # With nothing new, or nobody left out, another pass would find the same.
+        if crowded.isEmpty() or (not first and new.isEmpty() and more.isEmpty()):
+            return found
+        nodes = nodes.join(crowded, "node", "left_semi")
+
+
 def near_duplicates(
     docs: DataFrame, key: str = "doc_id", text: str = "text", shingle_words: int = 5, percent: int = 80
 ) -> DataFrame:
@@ -224,29 +302,8 @@ def near_duplicates(
 
     # Sets of fewer shingles than this can only be linked if they are equal.
     least_size = next(n for n in range(1, 102) if 100 * n >= percent * (n + 1)) if percent < 100 else 1 << 62
-    forest = members.where(F.col("sig").isNotNull() & (F.col("n") >= least_size)).select(
-        F.posexplode(F.array(*[F.substring("sig", 2 * DEPTH * t + 1, 2 * DEPTH) for t in range(TREES)])).alias("tree", "label"),
-        "node",
-        "n",
-        # The low bytes of every other value.
-        F.concat(*[F.substring("sig", 4 * i + 2, 1) for i in range(SKETCH)]).alias("sketch"),
-    )
-    deviation = (SKETCH * percent / 100 * (1 - percent / 100)) ** 0.5
-    pairs_of, pair_kind = _neighbours(percent, int(SKETCH * percent / 100 - 5 * deviation))
-    ordered = forest.repartitionByRange("tree", "label", "node").sortWithinPartitions("tree", "label", "node")
-    pairs = ordered.mapInArrow(pairs_of, pair_kind).groupBy("a", "b").agg(F.max("match").alias("match"))
-    pairs = write_through(pairs, "candidates")
-
-    best = pairs.groupBy("b").agg(F.max(F.struct("match", (-F.col("a")).alias("_minus"))).alias("x"))
-    links = _linked(rows, best.select((-F.col("x._minus")).alias("a"), "b"), shingle_words, percent)
-    found = connected_components(links, "a", "b")
-    end_a, end_b = (found.select(F.col("node").alias(c), F.col("component").alias(f"_{c}")) for c in "ab")
-    apart = pairs.join(end_a, "a", "left").join(end_b, "b", "left")
-    apart = apart.where(F.coalesce("_a", "a") != F.coalesce("_b", "b"))
-    apart = write_through(apart.join(best.select((-F.col("x._minus")).alias("a"), "b"), ["a", "b"], "left_anti").select("a", "b"), "apart")
-    more = _linked(rows, apart, shingle_words, percent)
-    links = links.unionByName(more)
-    found = connected_components(links, "a", "b")
+    nodes = members.where(F.col("sig").isNotNull() & (F.col("n") >= least_size)).select("node", "n", "sig")
+    found = _link_nodes(rows, nodes, shingle_words, percent)
     component = F.coalesce("component", "node", "doc_id")
     return (
         members.drop("sig")

@@ -102,7 +102,7 @@ def train(texts: list[str | None], labels: list[int], seed: int = 1) -> QualityM
     """
     n = len(labels)
     share = sum(labels) / n if n else 0.5
-    if not 0 < share < 1:
+    if not n or not 0 < share < 1:
         return QualityModel(np.zeros(1 << BUCKET_BITS, dtype=np.float32), 20.0 if share == 1 else -20.0 if n else 0.0)
     random = np.random.default_rng(seed)
     vectors = random.uniform(-1, 1, (1 << BUCKET_BITS, DIMENSION)).astype(np.float32) / DIMENSION
