@@ -9,8 +9,7 @@ from corpusloom.catalog.registry import query
 from corpusloom.operators import batching as B
 from corpusloom.operators.interleave import interleave as round_robin
 from corpusloom.operators.metrics import every_n_steps as on_cadence
-from corpusloom.operators.ordinal import attach_ordinal, ordinal
-from corpusloom.operators.ordinal import take_n as take
+from corpusloom.operators.ordinal import attach_ordinal, first_n, ordinal
 from corpusloom.plans.evaluate import EVAL_SAMPLES
 from corpusloom.plans.prepare import usable_rows
 
@@ -52,8 +51,7 @@ def interleave(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("take_n", WITH + "select pos, utterance_id, source, text from placed where pos <= 100")
 def take_n(spark: SparkSession, sf_dir: str) -> DataFrame:
-    placed = attach_ordinal(utterances(spark, sf_dir), ["utterance_id"], ["utterance_id"])
-    return take(placed, "pos", 100).select("pos", "utterance_id", "source", "text")
+    return first_n(utterances(spark, sf_dir), ["utterance_id"], 100).select("pos", "utterance_id", "source", "text")
 
 
 @query(
@@ -62,8 +60,7 @@ def take_n(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def eval_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = S.read_table(spark, sf_dir, "benchmark")
-    placed = attach_ordinal(table, ["item_id"], ["item_id"])
-    return take(placed, "pos", EVAL_SAMPLES).select("pos", "item_id", "text")
+    return first_n(table, ["item_id"], EVAL_SAMPLES).select("pos", "item_id", "text")
 
 
 @query("assign_batches", WITH + f"select utterance_id, (pos - 1) // {TRAIN_BATCH} as batch_id from placed")

@@ -26,9 +26,11 @@ def metric_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "retain_last_k",
-    f"""{POINTS}, saved as (select * from points where event_type = 'error')
-    select run_id, step, value from saved
-    qualify row_number() over (partition by run_id order by step desc) <= 3""",
+    f"""{POINTS}, saved as (select * from points where event_type = 'error'),
+    placed as (select *, row_number() over (partition by run_id order by step desc) as age,
+      first_value(step) over (partition by run_id order by value nulls last, step) as best from saved),
+    kept as (select *, max(case when step = best then age end) over (partition by run_id) as best_age from placed)
+    select run_id, step, value from kept where step = best or age <= case when best_age <= 3 then 3 else 2 end""",
 )
 def retain_last_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.retain_last_k(S.metric_points(spark, sf_dir, "error"))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions.text import split_ws
 from corpusloom.functions.words import word_list
 from corpusloom.operators.ordinal import ordinal
-from corpusloom.session import read_table, spread
+from corpusloom.session import read_table
 
 LANGUAGES = ("de", "en", "es", "fr")
 MAX_SECONDS = 20
@@ -45,7 +45,7 @@ def as_utterances(documents: DataFrame) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(read_table(spark, sf_dir, "documents"))
+    return read_table(spark, sf_dir, "documents")
 
 
 def utterances(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -171,7 +171,7 @@ def as_pairs(conversations: DataFrame) -> DataFrame:
 
 
 def prediction_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return as_pairs(spread(read_table(spark, sf_dir, "conversations")))
+    return as_pairs(read_table(spark, sf_dir, "conversations"))
 
 
 PAIRS_SQL = f"""spoken as (select conv_id, turn, role, text as reference, {sql_words('text')} as r from conversations),

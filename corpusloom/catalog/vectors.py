@@ -51,13 +51,15 @@ def vector_std(spark: SparkSession, sf_dir: str) -> DataFrame:
     "init_new_vectors",
     """with means as (select i, avg(cast(embedding[i] as double)) as mean
       from (select embedding, unnest(range(1, len(embedding) + 1)) as i from embeddings) group by i)
-    select t.token, cast(t.id as bigint) as id, cast(i - 1 as int) as dim, round(mean, 9) as value
-    from means, (values ('<|audio_start|>', 500), ('<|audio_end|>', 501)) as t(token, id)""",
+    select t.token, (select max(vec_id) from embeddings) + t.nth as id, cast(i - 1 as int) as dim, round(mean, 9) as value
+    from means, (values ('<|audio_start|>', 1), ('<|audio_end|>', 2)) as t(token, nth)""",
 )
 def init_new_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Without noise, so that the vectors can be told in advance."""
-    new = [("<|audio_start|>", 500), ("<|audio_end|>", 501)]
-    made = E.init_new_vectors(embedding_table(spark, sf_dir), new, scale=0.0)
+    """Ids after the table's last; without noise, so that the vectors can be told in advance."""
+    table = embedding_table(spark, sf_dir)
+    last = table.agg(F.max("id")).first()[0]
+    new = [("<|audio_start|>", last + 1), ("<|audio_end|>", last + 2)]
+    made = E.init_new_vectors(table, new, scale=0.0)
     exploded = made.select("token", "id", F.posexplode("vector").alias("dim", "value"))
     return exploded.withColumn("value", F.round("value", 9))
 
@@ -93,13 +95,13 @@ def project_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     "embedding_gather",
     f"""with {S.TURNS_SQL}, used as (select pos, unnest(ids) as id, generate_subscripts(ids, 1) as spot from turns),
     found as (select pos, spot, embedding from used join embeddings on vec_id = id)
-    select pos, count(*) as n,
-      round(sum(spot * cast(embedding[1] as double)), 4) as first_sum,
-      round(sum(spot * cast(embedding[64] as double)), 4) as last_sum
-    from found group by pos""",
+    select t.pos, count(f.spot) as n,
+      round(coalesce(sum(spot * cast(embedding[1] as double)), 0), 4) as first_sum,
+      round(coalesce(sum(spot * cast(embedding[64] as double)), 0), 4) as last_sum
+    from turns t left join found f using (pos) group by t.pos""",
 )
 def embedding_gather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = S.turns(spark, sf_dir).where(F.size("ids") > 0)
+    turns = S.turns(spark, sf_dir)
     gathered = E.embedding_gather(turns, ["pos"], "ids", embedding_table(spark, sf_dir), DIM)
     return gathered.select(
         "pos", F.size("embeds").cast("bigint").alias("n"),
@@ -114,9 +116,9 @@ SPLICE_MARKER = 7
 @query(
     "splice_batch",
     f"""with {S.BATCHED_TURNS_SQL},
-    segments as (select vec_id + 1 as pos, embedding as vector from embeddings),
-    marked as (select b.batch_id, b.pos, b.ids, list_position(b.ids, {SPLICE_MARKER}) as place, s.vector
-      from batched b join segments s using (pos) where list_position(b.ids, {SPLICE_MARKER}) > 0),
+    marked as (select b.batch_id, b.pos, b.ids, list_position(b.ids, {SPLICE_MARKER}) as place, s.embedding as vector
+      from batched b join embeddings s on s.vec_id = b.pos % (select count(*) from embeddings)
+      where list_position(b.ids, {SPLICE_MARKER}) > 0),
     long as (select *, max(len(ids) + 1) over (partition by batch_id) as longest from marked),
     used as (select pos, place, unnest(ids) as id, generate_subscripts(ids, 1) as spot from marked),
     parts as (
@@ -131,12 +133,14 @@ SPLICE_MARKER = 7
     from long join sums using (pos)""",
 )
 def splice_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Turns with a marker get a segment of two vectors; a turn without one has no segment either."""
+    """Every turn has a segment of two vectors; those with a marker get it."""
     tokens = S.batched_turns(spark, sf_dir).select(
         "batch_id", "pos", F.col("ids").alias("input_ids"), F.col("ids").alias("labels")
     )
-    segments = embeddings(spark, sf_dir).select(
-        (F.col("vec_id") + 1).alias("pos"), F.array(F.col("embedding"), F.reverse(F.col("embedding"))).alias("segment")
+    table = embeddings(spark, sf_dir)
+    number = F.lit(max(1, table.count()))
+    segments = tokens.select("pos", (F.col("pos") % number).alias("vec_id")).join(table, "vec_id").select(
+        "pos", F.array(F.col("embedding"), F.reverse(F.col("embedding"))).alias("segment")
     )
     spliced = splice(tokens, segments, embedding_table(spark, sf_dir), SPLICE_MARKER, DIM, strict=False)
     return spliced.select(

@@ -42,18 +42,17 @@ def add_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "token_lookup",
     f"""with {EXTENDED_SQL}, asked as (
-      select conv_id, turn, coalesce(nullif(string_split({S.sql_collapse('text')}, ' ')[-1], ''), '<|audio_start|>') as token
-      from conversations)
-    select conv_id, turn, asked.token, coalesce(id, -1) as id from asked left join extended using (token)""",
+      select conv_id, turn, unnest(ws) as token, generate_subscripts(ws, 1) as spot
+      from (select conv_id, turn, list_concat({S.sql_split('text')}, ['<|audio_start|>']) as ws from conversations))
+    select conv_id, turn, cast(spot - 1 as int) as at, asked.token, coalesce(id, -1) as id from asked left join extended using (token)""",
 )
 def token_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last word of each turn, looked up in the vocabulary of the documents."""
+    """Every word of each turn, and a special token after them, looked up in the vocabulary of the documents."""
     extended, _ = V.add_tokens(document_vocab(spark, sf_dir))
-    word = F.coalesce(F.element_at(split_ws(F.col("text")), -1), F.lit("<|audio_start|>"))
+    words = F.concat(split_ws(F.col("text")), F.array(F.lit("<|audio_start|>")))
     turns = S.read_table(spark, sf_dir, "conversations").where(F.col("text").isNotNull())
-    asked = turns.select("conv_id", "turn", word.alias("token"))
-    found = V.token_lookup(asked, extended)
-    return found.select("conv_id", "turn", "token", F.coalesce("id", F.lit(-1).cast("bigint")).alias("id"))
+    asked = turns.select("conv_id", "turn", F.posexplode(words).alias("at", "token"))
+    return V.token_lookup(asked, extended, unk_id=-1).select("conv_id", "turn", "at", "token", "id")
 
 
 @query(

@@ -76,13 +76,19 @@ def resample_long(samples: Column, rate_in: Column | int, rate_out: int) -> Colu
 
 
 def cast_audio(audio: Column, rate: int, arrow: bool = True) -> Column:
-    """The audio struct at another sampling rate; rows already at that rate are left alone."""
+    """The audio struct at another sampling rate; rows already at that rate are left alone.
+
+    Where the rate is missing or not positive the samples cannot be brought to another one, so
+    their array is NULL.
+    """
     change = resample_long if arrow else resample
     array, rate_in = audio.getField("array"), audio.getField("sampling_rate")
+    known = F.coalesce(rate_in > 0, F.lit(False))
     differs = rate_in != rate
-    changed = change(F.when(differs, array), rate_in, rate).cast("array<float>")
+    changed = change(F.when(known & differs, array), F.when(known, rate_in).otherwise(rate), rate)
     return F.struct(
-        F.when(differs, changed).otherwise(array).alias("array"), F.lit(rate).alias("sampling_rate")
+        F.when(known, F.when(differs, changed.cast("array<float>")).otherwise(array)).alias("array"),
+        F.lit(rate).alias("sampling_rate"),
     )
 
 
@@ -163,8 +169,7 @@ def log_mel(
                     wave = np.pad(wave[:length], (0, max(0, length - len(wave))))
                 if not len(wave):
                     continue
-                mode = "reflect" if len(wave) > n_fft // 2 else "constant"
-                wave = np.pad(wave, n_fft // 2, mode=mode)
+                wave = np.pad(wave, n_fft // 2, mode="reflect")
                 framed = np.lib.stride_tricks.sliding_window_view(wave, n_fft)[::hop][:-1]
                 if not len(framed):
                     continue

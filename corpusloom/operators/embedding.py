@@ -34,6 +34,7 @@ def embedding_gather(
     if ranked:
         head = embeddings.where(F.col("id") < most)
     else:
+        exploded = write_through(exploded, "ids")
         used = write_through(frequent_keys(exploded, "id", min(most, COUNTED_KEYS)), "used")
         head = embeddings.join(F.broadcast(used), "id", "left_semi")
     found = lookup_join(exploded, embeddings.select("id", "vector"), "id", head)

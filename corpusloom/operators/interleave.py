@@ -29,7 +29,11 @@ def first_exhausted(sizes: Sequence[int]) -> tuple[int, int]:
 
 
 def interleave(
-    sources: Sequence[DataFrame], order_by: str, key: Sequence[str] | None = None, out: str = "pos"
+    sources: Sequence[DataFrame],
+    order_by: str,
+    key: Sequence[str] | None = None,
+    out: str = "pos",
+    limit: int | None = None,
 ) -> DataFrame:
     """Round-robin over the sources, row by row, until the first of them runs out.
 
@@ -37,19 +41,25 @@ def interleave(
     ``key``. Adds ``k`` (source), ``rn`` (row in the source) and ``out`` (row in the result). A
     single source passes through in its own order. A source is read, and whatever filters it has
     are run, once for its keys; ordering looks at the written keys alone. Only rows up to the
-    stopping point are read a second time.
+    stopping point, or to the ``limit``-th row of the result, are read a second time.
     """
     key = list(key or [order_by])
     narrow = [df.select(*dict.fromkeys([*key, order_by])) for df in sources]
     places = ordinal(write_through(union_sources(narrow), "keys"), [order_by], ["k"], out="rn")
     if len(sources) == 1:
         kept = places.withColumn(out, F.col("rn"))
-        return sources[0].withColumn("k", F.lit(0)).join(kept.select(*key, "k", "rn", out), [*key, "k"])
+        only = sources[0]
+        if limit:
+            kept = kept.where(F.col("rn") <= limit)
+            only = only.where(F.col(order_by) <= F.lit(kept.agg(F.max(order_by)).first()[0]))
+        return only.withColumn("k", F.lit(0)).join(kept.select(*key, "k", "rn", out), [*key, "k"])
 
     # One row per configured source.
     counted = {r["k"]: r["n"] for r in places.groupBy("k").agg(F.max("rn").alias("n")).collect()}
     sizes = [counted.get(k, 0) for k in range(len(sources))]
     row, source = first_exhausted(sizes)
+    if limit:
+        row, source = min((row, source), ((limit - 1) // len(sources) + 1, (limit - 1) % len(sources)))
     kept = places.where((F.col("rn") < row) | ((F.col("rn") == row) & (F.col("k") <= source)))
     kept = kept.withColumn(out, (F.col("rn") - 1) * len(sources) + F.col("k") + 1)
 

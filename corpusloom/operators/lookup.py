@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.session import write_through
+
 # Rows of a lookup table that are broadcast for its most used keys.
 HEAD_ROWS = 50_000
 MOST_HEAD_BYTES = 64 * 1024 * 1024
@@ -34,19 +36,18 @@ def lookup_join(facts: DataFrame, lookup: DataFrame, on: str, head: DataFrame) -
 
     ``head`` holds the lookup rows of the most used keys and has a fixed largest size, so it is
     broadcast; facts with those keys, or with none, are never shuffled by key. What remains has
-    no hot key and is joined in whichever way the planner finds best.
+    no hot key and is joined in whichever way the planner finds best. ``facts`` are computed once:
+    what the broadcast part finds is written out, and both parts go on from there.
     """
+    values = [c for c in lookup.columns if c != on]
     head = head.select(*lookup.columns).withColumn("_found", F.lit(True))
-    found = (
-        facts.join(F.broadcast(head), on, "left")
-        .where(F.col("_found") | F.col(on).isNull())
-        .drop("_found")
-    )
-    rest = (
-        facts.where(F.col(on).isNotNull())
-        .join(F.broadcast(head.select(on)), on, "left_anti")
-        .join(lookup, on, "left")
-    )
+    seen = facts.join(F.broadcast(head), on, "left").withColumn("_done", F.col("_found").isNotNull() | F.col(on).isNull())
+    # A key that was found is not needed any more, its value is.
+    keep_key = F.when(~F.col("_done"), F.col(on)).alias(on)
+    others = [c for c in facts.columns if c != on]
+    seen = write_through(seen.select(*others, keep_key, *values, "_done"), "looked-up")
+    found = seen.where("_done").drop("_done", on)
+    rest = seen.where(~F.col("_done")).drop("_done", *values).join(lookup, on, "left").drop(on)
     return found.unionByName(rest)
 
 

@@ -33,11 +33,30 @@ def metric_rollup(
 
 
 def retain_last_k(
-    df: DataFrame, run: str = "run_id", step: str = "step", k: int = KEEP_CHECKPOINTS
+    df: DataFrame,
+    run: str = "run_id",
+    step: str = "step",
+    k: int = KEEP_CHECKPOINTS,
+    metric: str = "value",
+    greater_is_better: bool = False,
 ) -> DataFrame:
-    """The newest ``k`` rows of each run; no more than ``k`` per run and task are shuffled."""
+    """The ``k`` checkpoints that each run keeps: the best one and the newest others.
+
+    If the best one is not among the newest ``k``, it takes the place of the oldest of these. No
+    more than ``k`` rows per run and task are shuffled, besides one best row.
+    """
     newest = Window.partitionBy(run).orderBy(F.desc(step))
-    return df.withColumn("_rank", F.row_number().over(newest)).where(F.col("_rank") <= k).drop("_rank")
+    ranked = df.withColumn("_rank", F.row_number().over(newest)).where(F.col("_rank") <= k)
+    rank = -F.col(metric) if greater_is_better else F.col(metric)
+    best = (
+        df.where(F.col(metric).isNotNull())
+        .groupBy(F.col(run).alias("_run"))
+        .agg(F.min(F.struct(rank.alias("rank"), F.col(step).alias("step"), F.struct(*df.columns).alias("row"))).alias("_best"))
+    )
+    both = ranked.join(best, ranked[run].eqNullSafe(best["_run"]), "left")
+    replaced = (F.col("_rank") == k) & F.coalesce(F.col("_best.step") < F.col(step), F.lit(False))
+    chosen = F.when(replaced, F.col("_best.row")).otherwise(F.struct(*df.columns))
+    return both.select(chosen.alias("_kept")).select("_kept.*")
 
 
 def best_checkpoint(

@@ -3,15 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.session import write_through
 
-# A start table of at most this many rows is kept on the driver and broadcast.
-MOST_STARTS = 50_000
-
 
 def ordinal(
     df: DataFrame,
@@ -28,7 +26,6 @@ def ordinal(
     (range, group). Pass key columns only and join wide rows back by key. ``df`` is run twice, for
     the bounds of the ranges and for its rows, so write it first if it is costly to compute.
     """
-    spark = df.sparkSession
     groups = list(partition_by)
     order = [*groups, *order_by]
     # Without a number the ranges are merged at run time while they are small.
@@ -46,14 +43,18 @@ def ordinal(
         Window.partitionBy(*groups).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     )
     starts = starts.select(
-        *groups, "_range", (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift")
+        *(F.col(c).alias(f"_of_{c}") for c in groups),
+        F.col("_range").alias("_of_range"),
+        (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"),
+    )
+    # A missing group value is a group like any other.
+    same = reduce(
+        lambda x, y: x & y,
+        (placed[c].eqNullSafe(starts[f"_of_{c}"]) for c in groups),
+        placed["_range"] == starts["_of_range"],
     )
-    # Without groups there is one start per range; with groups there may be very many.
-    first = starts.limit(MOST_STARTS + 1).toArrow()
-    if first.num_rows <= MOST_STARTS:
-        starts = F.broadcast(spark.createDataFrame(first, starts.schema))
     return (
-        placed.join(starts, [*groups, "_range"])
+        placed.join(starts, same)
         .withColumn(out, F.col("_row") + F.col("_shift") + 1)
         .select(*df.columns, out)
     )
@@ -76,3 +77,14 @@ def attach_ordinal(
 def take_n(df: DataFrame, pos: str, n: int | None) -> DataFrame:
     """The first ``n`` rows by a dense position; no ``n`` means all of them."""
     return df.where(F.col(pos) <= n) if n else df
+
+
+def first_n(df: DataFrame, order_by: Sequence[str | Column], n: int | None, out: str = "pos") -> DataFrame:
+    """The first ``n`` rows of a table in an order without ties, with their position; no ``n`` means all of them.
+
+    Each task keeps its own first ``n`` rows, so nothing is sorted as a whole.
+    """
+    if not n:
+        return attach_ordinal(df, [str(c) for c in order_by], [str(c) for c in order_by], out=out)
+    # At most n rows are left to be numbered.
+    return df.orderBy(*order_by).limit(n).withColumn(out, F.row_number().over(Window.orderBy(*order_by)).cast("bigint"))

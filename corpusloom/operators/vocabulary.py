@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.operators import lookup
-from corpusloom.operators.lookup import lookup_join, regroup, regroup_ids
+from corpusloom.operators.lookup import COUNTED_KEYS, frequent_keys, lookup_join, regroup, regroup_ids
 from corpusloom.operators.ordinal import ordinal
+from corpusloom.session import write_through
 
 # The audio tokens and the padding token a vocabulary needs.
 AUDIO_TOKENS = ("<|audio_start|>", "<|audio_end|>", "<|audio_pad|>", "<|audio_sep|>", "<|audio_chunk|>")
@@ -54,10 +55,18 @@ def add_tokens(vocab: DataFrame, tokens: Sequence[str] = AUDIO_TOKENS) -> tuple[
     return vocab.unionByName(rows, allowMissingColumns=True), len(added)
 
 
-def token_lookup(df: DataFrame, vocab: DataFrame, token: str = "token") -> DataFrame:
-    """Add the id of a token; NULL if the vocabulary does not have it."""
-    entries = vocab.select(F.col("token").alias(token), "id")
-    return lookup_join(df, entries, token, _head(entries, token))
+def token_lookup(
+    df: DataFrame, vocab: DataFrame, token: str = "token", ranked: bool = True, unk_id: int | None = None
+) -> DataFrame:
+    """Add the id of a token; NULL, or ``unk_id``, if the vocabulary does not have it. ``ranked`` is as for ``encode_ids``."""
+    entries = vocab.select(F.col("token").alias("_key"), "id")
+    keyed = df.withColumn("_key", F.col(token))
+    found = _looked_up(keyed, entries, "_key", "_key", ranked)
+    return found.withColumn("id", _known(token, unk_id)) if unk_id is not None else found
+
+
+def _known(token: str, unk_id: int) -> Column:
+    return F.when(F.col(token).isNotNull(), F.coalesce("id", F.lit(unk_id).cast("bigint")))
 
 
 def _head(entries: DataFrame, token: str, used: Sequence[str] = ()) -> DataFrame:
@@ -71,6 +80,17 @@ def _head(entries: DataFrame, token: str, used: Sequence[str] = ()) -> DataFrame
     return entries.where(ranked | F.col(token).isin(*AUDIO_TOKENS, PAD_TOKEN, *used))
 
 
+def _looked_up(
+    facts: DataFrame, entries: DataFrame, on: str, token: str, ranked: bool, used: Sequence[str] = ()
+) -> DataFrame:
+    """``lookup_join`` with the head that ranks give, or with the keys that are counted to be frequent."""
+    if ranked:
+        return lookup_join(facts, entries, on, _head(entries, token, used))
+    facts = write_through(facts, "facts")
+    frequent = write_through(frequent_keys(facts, on, COUNTED_KEYS), "used")
+    return lookup_join(facts, entries, on, entries.join(F.broadcast(frequent), on, "left_semi"))
+
+
 def encode_ids(
     df: DataFrame,
     keys: Sequence[str],
@@ -78,16 +98,20 @@ def encode_ids(
     vocab: DataFrame,
     out: str = "ids",
     used: Sequence[str] = (),
+    ranked: bool = True,
+    unk_id: int | None = None,
 ) -> DataFrame:
-    """``(keys, ids)``: each row's words as ids, in order; an unknown word has a NULL id.
+    """``(keys, ids)``: each row's words as ids, in order; an unknown word has a NULL id, or ``unk_id``.
 
-    Ids are ranks by use, so the small ones cover most of a text and are looked up without a
-    shuffle. ``used`` names words that are frequent here whatever their rank, such as those of
-    a prompt.
+    With ``ranked``, ids are ranks by use, as ``vocab_build`` gives them, so the small ones cover
+    most of a text and are looked up without a shuffle; ``used`` names words that are frequent
+    here whatever their rank, such as those of a prompt. Else the frequent words are counted first.
     """
     exploded = df.select(*keys, F.posexplode_outer(words).alias("_at", "token"))
     entries = vocab.select("token", "id")
-    found = lookup_join(exploded, entries, "token", _head(entries, "token", used))
+    found = _looked_up(exploded, entries, "token", "token", ranked, used)
+    if unk_id is not None:
+        found = found.withColumn("id", F.when(F.col("_at").isNotNull(), F.coalesce("id", F.lit(unk_id).cast("bigint"))))
     return regroup_ids(found, keys, "_at", "id", out)
 
 
@@ -98,11 +122,18 @@ def decode_ids(
     vocab: DataFrame,
     skip: Sequence[str] = (),
     out: str = "text",
+    ranked: bool = True,
+    unk_token: str | None = None,
 ) -> DataFrame:
-    """``(keys, text)``: ids back to words joined by spaces; ids of ``skip`` tokens leave none."""
+    """``(keys, text)``: ids back to words joined by spaces; ids of ``skip`` tokens leave none.
+
+    An unknown id leaves none either, or ``unk_token``. ``ranked`` is as for ``encode_ids``.
+    """
     exploded = df.select(*keys, F.posexplode_outer(ids).alias("_at", "id"))
     entries = vocab.select("id", "token")
-    found = lookup_join(exploded, entries, "id", _head(entries, "token", skip))
+    found = _looked_up(exploded, entries, "id", "token", ranked, skip)
+    if unk_token is not None:
+        found = found.withColumn("token", F.when(F.col("_at").isNotNull(), F.coalesce("token", F.lit(unk_token))))
     if skip:
         found = found.withColumn("token", F.when(~F.col("token").isin(*skip), F.col("token")))
     grouped = regroup(found, keys, "_at", "token", out)

@@ -59,6 +59,29 @@ def collate(
     )
 
 
+# Why a row cannot be spliced.
+NO_MARKER, NO_SEGMENT, UNKNOWN_ID = "no marker", "no segment", "unknown id"
+
+
+def splice_errors(tokens: DataFrame, segments: DataFrame, embeddings: DataFrame, marker_id: int) -> DataFrame:
+    """``(pos, reason)`` of the rows that cannot be spliced, one row each with the first reason that holds.
+
+    A row needs the marker, a segment, and a vector for each of its other ids.
+    """
+    placed = tokens.select("pos", "input_ids", marker_pos(F.col("input_ids"), marker_id, strict=False).alias("_place"))
+    held = segments.where(F.col("segment").isNotNull()).select("pos", F.lit(True).alias("_held"))
+    ids = placed.select("pos", "_place", F.posexplode("input_ids").alias("_at", "id")).where("_at + 1 <> _place")
+    known = embeddings.where(F.col("vector").isNotNull()).select("id")
+    unknown = ids.join(known, "id", "left_anti").select("pos").distinct().withColumn("_unknown", F.lit(True))
+    reason = (
+        F.when(F.coalesce(F.col("_place"), F.lit(0)) == 0, F.lit(NO_MARKER))
+        .when(F.col("_held").isNull(), F.lit(NO_SEGMENT))
+        .when(F.col("_unknown").isNotNull(), F.lit(UNKNOWN_ID))
+    )
+    checked = placed.join(held, "pos", "left").join(unknown, "pos", "left")
+    return checked.select("pos", reason.alias("reason")).where("reason is not null")
+
+
 def splice_batch(
     tokens: DataFrame,
     segments: DataFrame,
@@ -74,16 +97,25 @@ def splice_batch(
     ``tokens`` is ``(batch_id, pos, input_ids, labels)``, with ``attention_mask`` too for
     ``mask_mode="strict"``; ``segments`` is ``(pos, segment)`` with an array of vectors;
     ``embeddings`` is ``(id, vector)``. In mode ``reference`` text padding counts as sequence, in
-    mode ``strict`` it keeps its own mask. Without ``strict``, rows that lack the marker are left
-    out instead of raising an error. ``ranked`` is as for ``embedding_gather``. ``tokens`` is
-    read several times; write it first if it is costly to compute.
+    mode ``strict`` it keeps its own mask. With ``strict``, a row without marker or segment, or
+    with an id that has no vector, raises an error; else such rows are left out, and
+    ``splice_errors`` names them. ``ranked`` is as for ``embedding_gather``. ``tokens`` is read
+    several times; write it first if it is costly to compute.
     """
     if mask_mode not in ("reference", "strict"):
         raise ValueError(mask_mode)
+    wrong = splice_errors(tokens, segments, embeddings, marker_id)
     place = marker_pos(F.col("input_ids"), marker_id, strict)
-    marked = tokens.withColumn("_place", place).where(F.col("_place") > 0)
+    if strict:
+        # The join keeps every row, and the first wrong one that is met ends the job.
+        told = F.raise_error(F.concat(F.lit("row "), F.col("pos").cast("string"), F.lit(": "), F.col("reason")))
+        checked = tokens.join(wrong, "pos", "left")
+        marked = checked.withColumn("_place", F.when(F.col("reason").isNotNull(), told.cast("bigint")).otherwise(place))
+        marked = marked.drop("reason")
+    else:
+        marked = tokens.join(wrong, "pos", "left_anti").withColumn("_place", place)
     # Lengths are known before any vector is fetched, so vectors are shuffled once, to their row.
-    sized = marked.join(segments.select("pos", F.size("segment").alias("_added")), "pos")
+    sized = marked.join(segments.select("pos", F.size("segment").alias("_added")), "pos", "left")
     lengths = F.size("input_ids") - 1 + F.col("_added")
     sized = sized.withColumn("_longest", F.max(lengths).over(Window.partitionBy("batch_id")))
     labels = splice_labels(F.col("labels"), F.col("_place"), F.col("_added"))

@@ -12,7 +12,6 @@ from corpusloom.functions.binding import let
 from corpusloom.functions.text import clean_guarded, strip_ws, text_by_value
 from corpusloom.operators.batching import assign_batches
 from corpusloom.operators.interleave import interleave
-from corpusloom.operators.ordinal import take_n
 from corpusloom.operators.rows import filter_map
 from corpusloom.sources.corpora import SourceSpec, open_sources, resampled
 
@@ -29,8 +28,7 @@ def load_corpus(
 
     Rows of a source come in the order of ``order_by``, which is unique within it.
     """
-    merged = interleave(open_sources(specs, tables, evaluation), order_by)
-    rows = take_n(merged, "pos", max_samples)
+    rows = interleave(open_sources(specs, tables, evaluation), order_by, limit=max_samples)
     # Only rows that are left get their audio resampled.
     return resampled(rows, sample_rate)
 

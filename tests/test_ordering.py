@@ -12,17 +12,16 @@ from corpusloom.operators.interleave import first_exhausted, interleave, union_s
 from corpusloom.operators.metrics import best_checkpoint, every_n_steps, metric_rollup, retain_last_k
 
 
-@pytest.mark.parametrize("most_starts", [50_000, 2])
-def test_ordinal_equals_row_number(spark, monkeypatch, most_starts):
-    """A group with most rows is spread over several ranges; others share one."""
-    monkeypatch.setattr(O, "MOST_STARTS", most_starts)
+def test_ordinal_equals_row_number(spark):
+    """A group with most rows is spread over several ranges; others share one, and one has no name."""
     df = spark.range(5000).select(
-        F.when(F.col("id") % 10 < 7, F.lit("hot")).otherwise(F.concat(F.lit("g"), F.col("id") % 40)).alias("g"),
+        F.when(F.col("id") % 10 == 9, F.lit(None)).when(F.col("id") % 10 < 7, F.lit("hot")).otherwise(F.concat(F.lit("g"), F.col("id") % 40)).alias("g"),
         (F.col("id") * 7919 % 5003).alias("v"),
     )
     got = O.ordinal(df, ["v"], ["g"], out="rn", ranges=9)
     wanted = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("v")).cast("bigint"))
-    assert sorted(got.collect()) == sorted(wanted.collect())
+    named = lambda rows: sorted((r["g"] or "", r["v"], r["rn"]) for r in rows)
+    assert named(got.collect()) == named(wanted.collect())
     falling = O.ordinal(df, [F.desc("v")], out="rn", ranges=5).orderBy("rn").collect()
     assert [r["rn"] for r in falling] == list(range(1, 5001))
     assert [r["v"] for r in falling] == sorted((r["v"] for r in falling), reverse=True)
@@ -30,7 +29,9 @@ def test_ordinal_equals_row_number(spark, monkeypatch, most_starts):
 
 def test_ordinal_has_no_one_task_window(spark):
     text = O.ordinal(spark.range(100), ["id"])._jdf.queryExecution().toString()
-    assert "SinglePartition" not in text and "Window" not in text
+    physical = text.split("== Physical Plan ==")[1]
+    # What is summed in one task is one row per range, counted before.
+    assert "HashAggregate" in physical.split("Window ")[1].split("Scan")[0]
 
 
 def test_ordinal_of_nothing(spark):
@@ -49,6 +50,20 @@ def test_take_n(spark, n, rows):
     assert O.take_n(O.ordinal(spark.range(5), ["id"]), "pos", n).count() == rows
 
 
+@pytest.mark.parametrize("n, rows", [(2, 2), (9, 5), (0, 5), (None, 5)])
+def test_first_n(spark, n, rows):
+    df = spark.createDataFrame([(i, f"t{i}") for i in (3, 1, 5, 2, 4)], "id bigint, text string")
+    got = sorted((r["pos"], r["id"], r["text"]) for r in O.first_n(df, ["id"], n).collect())
+    assert got == [(i, i, f"t{i}") for i in range(1, rows + 1)]
+
+
+def test_best_checkpoint_is_retained(spark):
+    df = spark.range(4000).selectExpr("id % 40 as run_id", "id as step", "rand(5) as value").cache()
+    kept = {(r["run_id"], r["step"]) for r in retain_last_k(df).collect()}
+    assert {(r["run_id"], r["step"]) for r in best_checkpoint(df).collect()} <= kept
+    assert len(kept) == 120
+
+
 def round_robin(sizes):
     """Pull a row from each source in turn, looking one row ahead; stop when one has no more."""
     streams = [iter(range(1, n + 1)) for n in sizes]
@@ -119,6 +134,8 @@ def test_checkpoints(spark):
     assert sorted(map(tuple, best_checkpoint(df).collect())) == [("a", 2, 0.25), ("b", 7, 1.0)]
     assert sorted(map(tuple, best_checkpoint(df, greater_is_better=True).collect())) == [("a", 4, 0.9), ("b", 7, 1.0)]
     assert sorted(r["step"] for r in retain_last_k(df).collect()) == [2, 3, 4, 7]
+    assert sorted(r["step"] for r in retain_last_k(df, k=2).collect()) == [2, 4, 7]
+    assert sorted(r["step"] for r in retain_last_k(df, k=1, greater_is_better=True).collect()) == [4, 7]
     assert [r["step"] for r in every_n_steps(spark.range(0, 1501, 250).withColumnRenamed("id", "step")).collect()] == [500, 1000, 1500]
 
 

@@ -75,6 +75,13 @@ def test_both_sides(tables):
     assert [r["pos"] for r in validation.orderBy("pos").collect()] == [1, 2, 3, 4, 5]
 
 
+def test_limit_reaches_the_scans(tables):
+    train, _ = load_corpora([MULTI, TAGGED, NAMED], tables, max_train_samples=2)
+    assert [r["pos"] for r in train.orderBy("pos").collect()] == [1, 2]
+    one, _ = load_corpora([NAMED], tables, max_train_samples=2)
+    assert [r["pos"] for r in one.orderBy("pos").collect()] == [1, 2]
+
+
 def test_single_source_passes_through(tables):
     train, _ = load_corpora([NAMED], tables)
     assert [r["pos"] for r in train.orderBy("utterance_id").collect()] == [1, 2, 3, 4]
@@ -102,9 +109,3 @@ def test_shared_folder_is_the_one_the_session_names(spark):
     else:
         assert session.shared_folder(spark) == session.shared_folder(spark)
 
-
-def test_spread_leaves_tables_of_many_splits(spark):
-    cores = spark.sparkContext.defaultParallelism
-    assert session.spread(spark.range(0, 10, 1, 1)).rdd.getNumPartitions() == cores
-    wide = spark.range(0, 10, 1, cores)
-    assert session.spread(wide) is wide
