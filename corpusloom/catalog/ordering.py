@@ -49,6 +49,16 @@ def interleave(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_robin(sources, "utterance_id").select("pos", "k", "rn", "utterance_id", "text")
 
 
+@query(
+    "interleave_single",
+    "select row_number() over (order by doc_id) as pos, cast(0 as int) as k, row_number() over (order by doc_id) as rn, "
+    "doc_id as utterance_id from documents where lang = 'fr'",
+)
+def interleave_single(spark: SparkSession, sf_dir: str) -> DataFrame:
+    only = utterances(spark, sf_dir).where(F.col("source") == "fr")
+    return round_robin([only], "utterance_id").select("pos", "k", "rn", "utterance_id")
+
+
 @query("take_n", WITH + "select pos, utterance_id, source, text from placed where pos <= 100")
 def take_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first_n(utterances(spark, sf_dir), ["utterance_id"], 100).select("pos", "utterance_id", "source", "text")

@@ -7,7 +7,8 @@ from corpusloom.catalog import standins as S
 from corpusloom.catalog.registry import query
 from corpusloom.catalog.scoring import numbered_pairs
 from corpusloom.operators import metrics as M
-from corpusloom.plans.evaluate import evaluation_scalars, evaluation_texts
+from corpusloom.plans.evaluate import evaluation_texts
+from corpusloom.plans.evaluate import log_predictions as log_due_predictions
 from corpusloom.session import fresh_path
 from corpusloom.sources import sinks
 
@@ -80,13 +81,23 @@ def sink_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.read_texts(spark, path)
 
 
+EVERY, SAMPLES = 2, 3
+
+
 @query(
     "log_predictions",
-    f"""with recursive {S.EDITS_SQL}
-    select role as run_id, 'eval/wer' as tag, conv_id as step, round(sum(edits) / sum(ref_words), 9) as value
-    from scored group by role, conv_id""",
+    f"""with recursive {S.EDITS_SQL},
+    due as (select *, turn + 1 as pos from scored where conv_id % {EVERY} = 0 and conv_id > 0 and turn < {SAMPLES}),
+    rates as (select role, conv_id, round(sum(edits) / sum(ref_words), 9) as value from due group by role, conv_id),
+    told as (select role, conv_id, string_agg('**Sample ' || (turn + 1) || '**\n\nTruth: ' || reference || '\n\nPrediction: '
+      || array_to_string(h, ' ') || '\n\n---', '\n' order by turn) as text
+      from pairs where conv_id % {EVERY} = 0 and conv_id > 0 and turn < {SAMPLES} group by role, conv_id)
+    select role as run_id, conv_id as step, value, text from rates join told using (role, conv_id)""",
 )
 def log_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = fresh_path(spark, "scalars")
-    sinks.write_scalars(evaluation_scalars(evaluation_pairs(spark, sf_dir)), path)
-    return sinks.read_scalars(spark, path).withColumn("value", F.round("value", 9))
+    """Every second conversation is an evaluation that is due; run twice, it is stored once."""
+    scalars, texts = fresh_path(spark, "scalars"), fresh_path(spark, "texts")
+    for _ in range(2):
+        log_due_predictions(evaluation_pairs(spark, sf_dir), scalars, texts, every=EVERY, samples=SAMPLES, part="first")
+    values = sinks.read_scalars(spark, scalars).select("run_id", "step", F.round("value", 9).alias("value"))
+    return values.join(sinks.read_texts(spark, texts).select("run_id", "step", "text"), ["run_id", "step"])

@@ -61,7 +61,7 @@ def wer_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("text").alias("reference"),
         F.array_join(S.predicted_words(F.col("text")), " ").alias("prediction"),
     )
-    return W.wer_corpus(W.score_pairs(pairs), ["lang"]).withColumn("wer", F.round("wer", 9))
+    return W.wer_corpus(W.score_pairs(pairs, native=False), ["lang"]).withColumn("wer", F.round("wer", 9))
 
 
 @query(

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.functions.text import split_ws
+from corpusloom.functions.text import GARBAGE_TAGS, PUNCTUATION_TAGS, split_ws
 from corpusloom.functions.words import word_list
 from corpusloom.operators.ordinal import ordinal
 from corpusloom.session import read_table
@@ -80,17 +80,17 @@ def sql_words(x: str) -> str:
 def sql_rejected(x: str) -> str:
     tests = [
         f"(contains({x}, '{tag}') and length({sql_strip(f'''replace({x}, '{tag}', '')''')}) < 3)"
-        for tag in ("<SIL>", "<MUSIC>", "<NOISE>", "<OTHER>")
+        for tag in GARBAGE_TAGS
     ]
     return "(" + " or ".join(tests) + ")"
 
 
 def sql_clean(x: str) -> str:
     marks = x
-    for tag, mark in (("COMMA", ","), ("PERIOD", "."), ("QUESTIONMARK", "?"), ("EXCLAMATIONPOINT", "!")):
-        marks = f"replace({marks}, '<{tag}>', '{mark}')"
-    for tag in ("SIL", "MUSIC", "NOISE", "OTHER"):
-        marks = f"replace({marks}, '<{tag}>', ' ')"
+    for tag, mark in PUNCTUATION_TAGS.items():
+        marks = f"replace({marks}, '{tag}', '{mark}')"
+    for tag in GARBAGE_TAGS:
+        marks = f"replace({marks}, '{tag}', ' ')"
     return f"case when {x} is null or {sql_rejected(x)} then null else nullif({sql_collapse(marks)}, '') end"
 
 

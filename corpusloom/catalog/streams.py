@@ -27,12 +27,33 @@ def stream_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema("utterance_id bigint, text string").parquet(path)
 
 
-@query("stream_take")
+@query(
+    "stream_take",
+    "select least(count(*), 50) as n, least(count(*), 50) as n_known from documents",
+)
 def stream_take(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Any rows may arrive first; what is told is how many were taken and how many of them are in the table."""
     arriving = table_stream(spark, sf_dir, "documents").select("doc_id", "text")
     path = fresh_path(spark, "taken")
     streams.append_stream(streams.stream_take(arriving, 50), path, f"{path}-state").awaitTermination()
-    return spark.read.schema("doc_id bigint, text string").parquet(path)
+    taken = spark.read.schema("doc_id bigint, text string").parquet(path)
+    known = S.read_table(spark, sf_dir, "documents").select("doc_id", "text", F.lit(1).alias("known"))
+    found = taken.join(known, ["doc_id", "text"], "left")
+    return found.agg(F.count(F.lit(1)).alias("n"), F.count("known").alias("n_known"))
+
+
+@query(
+    "stream_restart",
+    f"with {S.UTTERANCES_SQL} select utterance_id, {S.sql_clean('text')} as text from utterances "
+    f"where ({S.sql_clean('text')}) is not null",
+)
+def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream that is started again goes on where it ended and writes nothing twice."""
+    path = fresh_path(spark, "restarted")
+    for _ in range(2):
+        arriving = S.as_utterances(table_stream(spark, sf_dir, "documents")).select("utterance_id", "text")
+        streams.append_stream(streams.stream_clean(arriving), path, f"{path}-state").awaitTermination()
+    return spark.read.schema("utterance_id bigint, text string").parquet(path)
 
 
 @query(

@@ -192,6 +192,29 @@ def resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", n.alias("n"), weighted_sum(F.col("r"), n).alias("total"))
 
 
+@query(
+    "cast_audio",
+    f"""with {SAMPLES_SQL},
+    rated as (select *, case doc_id % 4 when 0 then 24000 when 1 then 16000 when 2 then 0 end as rate from sounds),
+    points as (select doc_id, a, rate, unnest(range(0, (len(a) * 16000 + rate - 1) // rate)) as i from rated where rate > 0),
+    mixed as (select doc_id, i, cast(
+      cast(a[i * rate // 16000 + 1] as double) * (1 - (i * rate % 16000) / 16000.0::double)
+      + cast(a[least(i * rate // 16000 + 2, len(a))] as double) * ((i * rate % 16000) / 16000.0::double) as float) as x from points),
+    sums as (select doc_id, count(*) as n, round(sum(cast(x as double) * (i + 1)) / count(*), 4) as total from mixed group by doc_id)
+    select doc_id, 16000 as rate, s.n, s.total from rated left join sums s using (doc_id)""",
+)
+def cast_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recordings of two rates, of none and of rate 0; the last two have no samples afterwards."""
+    kind = F.col("doc_id") % 4
+    rate = F.when(kind == 0, 24000).when(kind == 1, 16000).when(kind == 2, 0)
+    audio = F.struct(F.col("a").alias("array"), rate.alias("sampling_rate"))
+    rows = sounds(spark, sf_dir).select("doc_id", A.cast_audio(audio, 16000).alias("r"))
+    n = F.size("r.array").cast("bigint")
+    return rows.select(
+        "doc_id", F.col("r.sampling_rate").alias("rate"), n.alias("n"), weighted_sum(F.col("r.array"), n).alias("total")
+    )
+
+
 @query(
     "frame_energy",
     f"""with {SAMPLES_SQL},

@@ -135,6 +135,26 @@ def _mel_filters(rate: int, n_fft: int, bands: int) -> np.ndarray:
     return triangles * (2.0 / (edges[2:] - edges[:-2]))[:, None]
 
 
+def _mel_frames(wave: np.ndarray, filters: np.ndarray, n_fft: int, hop: int) -> np.ndarray:
+    """Log-mel values of a recording, frames by bands; its edges are mirrored, however short it is."""
+    wave = np.pad(wave, n_fft // 2, mode="reflect")
+    framed = np.lib.stride_tricks.sliding_window_view(wave, n_fft)[::hop][:-1]
+    if not len(framed):
+        return np.zeros((0, len(filters)), dtype=np.float32)
+    window = np.hanning(n_fft + 1)[:-1]
+    parts = [
+        np.abs(np.fft.rfft(framed[i : i + FRAMES_AT_ONCE] * window, axis=1)) ** 2 @ filters.T
+        for i in range(0, len(framed), FRAMES_AT_ONCE)
+    ]
+    mel = np.log10(np.maximum(np.concatenate(parts), 1e-10))
+    return ((np.maximum(mel, mel.max() - 8.0) + 4.0) / 4.0).astype(np.float32)
+
+
+def _fitted(array, length: int | None) -> np.ndarray:
+    wave = np.asarray(array, dtype=np.float64)
+    return wave if length is None else np.pad(wave[:length], (0, max(0, length - len(wave))))
+
+
 def log_mel(
     df: DataFrame,
     key: str,
@@ -159,28 +179,41 @@ def log_mel(
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         filters = _mel_filters(rate, n_fft, bands)
-        window = np.hanning(n_fft + 1)[:-1]
         for batch in batches:
             for name, array in zip(batch[key], batch[samples]):
                 if array is None:
                     continue
-                wave = np.asarray(array, dtype=np.float64)
-                if length is not None:
-                    wave = np.pad(wave[:length], (0, max(0, length - len(wave))))
-                if not len(wave):
-                    continue
-                wave = np.pad(wave, n_fft // 2, mode="reflect")
-                framed = np.lib.stride_tricks.sliding_window_view(wave, n_fft)[::hop][:-1]
-                if not len(framed):
-                    continue
-                parts = [
-                    np.abs(np.fft.rfft(framed[i : i + FRAMES_AT_ONCE] * window, axis=1)) ** 2 @ filters.T
-                    for i in range(0, len(framed), FRAMES_AT_ONCE)
-                ]
-                mel = np.log10(np.maximum(np.concatenate(parts), 1e-10))
-                mel = (np.maximum(mel, mel.max() - 8.0) + 4.0) / 4.0
-                yield pd.DataFrame(
-                    {key: name, "frame": np.arange(len(mel)), "mel": list(mel.astype(np.float32))}
-                )
+                wave = _fitted(array, length)
+                mel = _mel_frames(wave, filters, n_fft, hop) if len(wave) else ()
+                if len(mel):
+                    yield pd.DataFrame({key: name, "frame": np.arange(len(mel)), "mel": list(mel)})
 
     return df.select(key, samples).mapInPandas(features, schema)
+
+
+def mel_features(
+    samples: Column,
+    length: int = MAX_SAMPLES,
+    rate: int = SAMPLE_RATE,
+    n_fft: int = FRAME_SAMPLES,
+    hop: int = HOP_SAMPLES,
+    bands: int = MEL_BANDS,
+) -> Column:
+    """The log-mel matrix of a recording cut or zero-padded to ``length`` samples, bands by frames; NULL for NULL."""
+
+    def features(arrays: pd.Series) -> pd.Series:
+        filters = _mel_filters(rate, n_fft, bands)
+        return pd.Series(
+            [None if a is None else list(_mel_frames(_fitted(a, length), filters, n_fft, hop).T) for a in arrays],
+            dtype=object,
+        )
+
+    return F.pandas_udf(features, "array<array<float>>")(samples)
+
+
+def frame_mask(samples: Column, length: int = MAX_SAMPLES, hop: int = HOP_SAMPLES) -> Column:
+    """1 for each frame of ``mel_features`` that begins inside the recording, 0 for the others."""
+    frames = F.lit(length // hop)
+    inside = F.least(F.ceil(F.size(samples) / F.lit(hop)).cast("int"), frames)
+    one, zero = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    return F.concat(F.array_repeat(one, inside), F.array_repeat(zero, frames - inside))

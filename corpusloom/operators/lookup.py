@@ -37,7 +37,8 @@ def lookup_join(facts: DataFrame, lookup: DataFrame, on: str, head: DataFrame) -
     ``head`` holds the lookup rows of the most used keys and has a fixed largest size, so it is
     broadcast; facts with those keys, or with none, are never shuffled by key. What remains has
     no hot key and is joined in whichever way the planner finds best. ``facts`` are computed once:
-    what the broadcast part finds is written out, and both parts go on from there.
+    what the broadcast part finds is written out, and both parts go on from there. The key itself is
+    not part of the result.
     """
     values = [c for c in lookup.columns if c != on]
     head = head.select(*lookup.columns).withColumn("_found", F.lit(True))

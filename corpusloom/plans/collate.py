@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.functions.audio import MAX_SAMPLES
+from corpusloom.functions.audio import MAX_SAMPLES, frame_mask, mel_features
 from corpusloom.functions.sequences import (
     mask_pad,
     mask_prompt,
@@ -34,15 +34,19 @@ def collate(
     max_tokens: int | None = None,
     audio: str | None = None,
     audio_samples: int = MAX_SAMPLES,
+    features: bool = False,
+    unk_id: int | None = None,
 ) -> DataFrame:
     """Batched usable rows to ``(batch_id, pos, input_ids, attention_mask, labels)``.
 
     Takes ``(batch_id, pos, text)``. Only these are tokenised and shuffled; an ``audio`` array
-    column is padded where it lies and joined by ``pos`` at the end.
+    column is padded where it lies and joined by ``pos`` at the end, as ``audio_values`` and the
+    mask of its samples, or, with ``features``, as the matrix ``input_features`` and the mask of its
+    frames. ``unk_id`` stands for words that the vocabulary lacks, which are NULL otherwise.
     """
     words = df.select("batch_id", "pos", split_ws(instruction_text(F.col("text"), template)).alias("words"))
     coded = encode_ids(
-        words, ["batch_id", "pos"], "words", vocab, out="input_ids", used=template.split()
+        words, ["batch_id", "pos"], "words", vocab, out="input_ids", used=template.split(), unk_id=unk_id
     )
     if max_tokens is not None:
         coded = coded.withColumn("input_ids", truncate_ids(F.col("input_ids"), max_tokens))
@@ -51,6 +55,13 @@ def collate(
     batch = padded.select("batch_id", "pos", "input_ids", "attention_mask", labels.alias("labels"))
     if audio is None:
         return batch
+    if features:
+        matrix = df.select(
+            "pos",
+            mel_features(F.col(audio), audio_samples).alias("input_features"),
+            frame_mask(F.col(audio), audio_samples).alias("audio_attention_mask"),
+        )
+        return batch.join(matrix, "pos").select(*batch.columns, "input_features", "audio_attention_mask")
     sounds = df.select("pos", pad_audio(F.col(audio), audio_samples).alias("_audio"))
     return batch.join(sounds, "pos").select(
         *batch.columns,
@@ -105,15 +116,12 @@ def splice_batch(
     if mask_mode not in ("reference", "strict"):
         raise ValueError(mask_mode)
     wrong = splice_errors(tokens, segments, embeddings, marker_id)
-    place = marker_pos(F.col("input_ids"), marker_id, strict)
+    # With ``strict`` every row goes on, and the first wrong one that is met ends the job.
     if strict:
-        # The join keeps every row, and the first wrong one that is met ends the job.
-        told = F.raise_error(F.concat(F.lit("row "), F.col("pos").cast("string"), F.lit(": "), F.col("reason")))
-        checked = tokens.join(wrong, "pos", "left")
-        marked = checked.withColumn("_place", F.when(F.col("reason").isNotNull(), told.cast("bigint")).otherwise(place))
-        marked = marked.drop("reason")
+        marked = tokens.join(wrong, "pos", "left")
     else:
-        marked = tokens.join(wrong, "pos", "left_anti").withColumn("_place", place)
+        marked = tokens.join(wrong, "pos", "left_anti").withColumn("reason", F.lit(None).cast("string"))
+    marked = marked.withColumn("_place", marker_pos(F.col("input_ids"), marker_id, strict=False))
     # Lengths are known before any vector is fetched, so vectors are shuffled once, to their row.
     sized = marked.join(segments.select("pos", F.size("segment").alias("_added")), "pos", "left")
     lengths = F.size("input_ids") - 1 + F.col("_added")
@@ -125,15 +133,18 @@ def splice_batch(
         F.slice("attention_mask", F.col("_place").cast("int") + 1, F.size("attention_mask")),
     ) if mask_mode == "strict" else F.lit(None).cast("array<bigint>")
     rows = sized.select(
-        "batch_id", "pos", "_place", "_longest", labels.alias("labels"), own.alias("_mask")
+        "batch_id", "pos", "_place", "_longest", labels.alias("labels"), own.alias("_mask"), "reason"
     )
 
     vectors = embedding_gather(marked, ["pos"], "input_ids", embeddings, dim, out="inputs_embeds", ranked=ranked)
+    told = F.raise_error(F.concat(F.lit("row "), F.col("pos").cast("string"), F.lit(": "), F.col("reason")))
+    whole = splice_segment(F.col("inputs_embeds"), F.col("_place"), F.col("segment"))
+    checked = F.when(F.col("reason").isNotNull(), told.cast("array<array<float>>")).otherwise(whole)
     spliced = (
         vectors.join(rows, "pos")
-        .join(segments.select("pos", "segment"), "pos")
-        .withColumn("inputs_embeds", splice_segment(F.col("inputs_embeds"), F.col("_place"), F.col("segment")))
-        .drop("segment", "_place")
+        .join(segments.select("pos", "segment"), "pos", "left")
+        .withColumn("inputs_embeds", checked)
+        .drop("segment", "_place", "reason")
     )
     padded = pad_spliced(
         spliced, dim=dim, mask="_mask" if mask_mode == "strict" else None, longest="_longest"

@@ -31,10 +31,14 @@ def log_predictions(
     texts_path: str,
     every: int = PREDICTIONS_EVERY,
     samples: int | None = EVAL_SAMPLES,
+    part: str | None = None,
 ) -> None:
-    """Score and report the first rows of every evaluation that falls on the cadence."""
+    """Score and report the first rows of every evaluation that falls on the cadence.
+
+    With ``part``, a name for this evaluation, running it again replaces what it wrote.
+    """
     due = every_n_steps(pairs, "step", every)
     if samples:
         due = due.where(F.col("pos") <= samples)
-    write_scalars(evaluation_scalars(due), scalars_path)
-    write_texts(evaluation_texts(due), texts_path)
+    write_scalars(evaluation_scalars(due), scalars_path, part)
+    write_texts(evaluation_texts(due), texts_path, part)

@@ -12,7 +12,7 @@ from corpusloom.functions.binding import let
 from corpusloom.functions.text import clean_guarded, strip_ws, text_by_value
 from corpusloom.operators.batching import assign_batches
 from corpusloom.operators.interleave import interleave
-from corpusloom.operators.rows import filter_map
+from corpusloom.operators.rows import filter_map, tolerant_rows
 from corpusloom.sources.corpora import SourceSpec, open_sources, resampled
 
 
@@ -67,3 +67,10 @@ def batched_rows(
     batched = assign_batches(df, pos, batch_size)
     short = batched.where(within_duration(samples, sample_rate, max_seconds))
     return filter_map(short, "text", let(usable_text(df), lambda t: F.when(t != "", t)))
+
+
+def rejected_rows(df: DataFrame, samples: Column, sample_rate: int, max_seconds: float) -> DataFrame:
+    """``(reason, n)``: how many rows ``batched_rows`` leaves out, by the first reason that holds."""
+    return tolerant_rows(
+        df, duration=within_duration(samples, sample_rate, max_seconds), text=usable_text(df) != ""
+    )[1]

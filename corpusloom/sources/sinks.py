@@ -34,26 +34,34 @@ def run_path(started: Column, root: str = "outputs", job: Column | None = None)
     return folder if job is None else F.concat(folder, F.lit("/"), job.cast("string"))
 
 
-def _append(df: DataFrame, schema: T.StructType, path: str) -> None:
+def _write(df: DataFrame, schema: T.StructType, path: str, part: str | None) -> None:
     fields = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]
     # By range, so that small runs share a file and a large run gets several.
-    placed = df.select(*fields).repartitionByRange("run_id", "tag", "step")
-    placed.write.mode("append").partitionBy("run_id").parquet(path)
+    placed = df.select(*fields, F.lit(part or "-").alias("part")).repartitionByRange("run_id", "tag", "step")
+    writer = placed.write.partitionBy("part", "run_id")
+    if part is None:
+        writer.mode("append").parquet(path)
+    else:
+        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
-def write_scalars(df: DataFrame, path: str) -> None:
-    """Append ``(run_id, tag, step, value)``."""
-    _append(df, SCALAR_SCHEMA, path)
+def write_scalars(df: DataFrame, path: str, part: str | None = None) -> None:
+    """Append ``(run_id, tag, step, value)``, or write them as ``part`` of their runs in place of what it held."""
+    _write(df, SCALAR_SCHEMA, path, part)
 
 
-def write_texts(df: DataFrame, path: str) -> None:
-    """Append ``(run_id, tag, step, text)``."""
-    _append(df, TEXT_SCHEMA, path)
+def write_texts(df: DataFrame, path: str, part: str | None = None) -> None:
+    """``write_scalars`` for ``(run_id, tag, step, text)``."""
+    _write(df, TEXT_SCHEMA, path, part)
+
+
+def _stored(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField("part", T.StringType())])
 
 
 def read_scalars(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(SCALAR_SCHEMA).parquet(path)
+    return spark.read.schema(_stored(SCALAR_SCHEMA)).parquet(path).drop("part")
 
 
 def read_texts(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(TEXT_SCHEMA).parquet(path)
+    return spark.read.schema(_stored(TEXT_SCHEMA)).parquet(path).drop("part")

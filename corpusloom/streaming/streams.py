@@ -75,9 +75,9 @@ def stream_interleave(
     """Give the rows of a stream their round-robin position as they arrive.
 
     Rows of a source count in order of arrival, within a micro-batch in order of ``order_by``.
-    Each batch writes its rows and the running row count of every source, so a repeated batch
-    writes the same again. Rows of sources that are not listed are left out.
-    ``read_interleaved`` shows the merged sequence.
+    Each batch writes its rows once, then their positions, found by keys alone, and the running
+    row count of every source, so a repeated batch writes the same again. Rows of sources that are
+    not listed are left out. ``read_interleaved`` shows the merged sequence.
     """
     names = F.array(*map(F.lit, sources))
 
@@ -89,15 +89,18 @@ def stream_interleave(
             for r in spark.read.parquet(f"{path}/totals/batch={batch_id - 1}").collect():
                 before[r["k"]] = r["n"]
         numbered = batch.withColumn("k", (F.array_position(names, F.col(source)) - 1).cast("int"))
-        placed = ordinal(numbered.where(F.col("k") >= 0), [order_by], ["k"], out="rn")
+        rows = f"{path}/rows/batch={batch_id}"
+        numbered = numbered.where(F.col("k") >= 0).withColumn("_arrival", F.monotonically_increasing_id())
+        numbered.write.mode("overwrite").parquet(rows)
+        keys = spark.read.schema(numbered.schema).parquet(rows).select("k", "_arrival", order_by)
+        placed = ordinal(keys, [order_by, "_arrival"], ["k"], out="rn")
         arrived = {r["k"]: r["n"] for r in placed.groupBy("k").agg(F.max("rn").alias("n")).collect()}
         totals = [(k, n + arrived.get(k, 0)) for k, n in enumerate(before)]
 
         offset = F.get(F.array(*(F.lit(n).cast("bigint") for n in before)), F.col("k"))
-        moved = placed.withColumn("rn", F.col("rn") + offset)
-        moved.withColumn("pos", (F.col("rn") - 1) * len(sources) + F.col("k") + 1).write.mode(
-            "overwrite"
-        ).parquet(f"{path}/rows/batch={batch_id}")
+        moved = placed.select("_arrival", F.col("k").alias("_k"), (F.col("rn") + offset).alias("rn"))
+        moved = moved.withColumn("pos", (F.col("rn") - 1) * len(sources) + F.col("_k") + 1).drop("_k")
+        moved.write.mode("overwrite").parquet(f"{path}/places/batch={batch_id}")
         spark.createDataFrame(totals, "k int, n bigint").coalesce(1).write.mode("overwrite").parquet(
             f"{path}/totals/batch={batch_id}"
         )
@@ -109,7 +112,8 @@ def read_interleaved(spark: SparkSession, path: str, sources: Sequence[str]) ->
     """The merged sequence as far as the sources have arrived."""
     totals = spark.read.parquet(f"{path}/totals").groupBy("k").agg(F.max("n").alias("n"))
     counts = {r["k"]: r["n"] for r in totals.collect()}
-    rows = spark.read.parquet(f"{path}/rows").drop("batch")
+    places = spark.read.parquet(f"{path}/places")
+    rows = spark.read.parquet(f"{path}/rows").join(places, ["batch", "_arrival"]).drop("batch", "_arrival")
     if len(sources) == 1:
         return rows
     row, last = first_exhausted([counts.get(k, 0) for k in range(len(sources))])

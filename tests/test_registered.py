@@ -52,7 +52,7 @@ NATIVE = (
     "source_ordinal interleave take_n empty_batches prepare_corpus vocab_build encode_ids decode_ids "
     "pad_longest mask_prompt mask_pad splice_segment splice_labels pad_spliced pad_audio collate "
     "embedding_gather splice_batch vector_mean vector_std rms_norm init_new_vectors frame_energy "
-    "metric_rollup retain_last_k best_checkpoint"
+    "metric_rollup retain_last_k best_checkpoint word_edits wer_corpus wer_by_group"
 ).split()
 
 

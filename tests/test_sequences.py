@@ -9,7 +9,7 @@ from corpusloom.operators import lookup
 from corpusloom.operators import vocabulary as V
 from corpusloom.operators.batching import pad_longest, pad_spliced
 from corpusloom.operators.embedding import embedding_gather
-from corpusloom.plans.collate import collate, splice_batch
+from corpusloom.plans.collate import collate, splice_batch, splice_errors
 from corpusloom.plans.prepare import batched_rows
 
 IDS = "id bigint, ids array<bigint>"
@@ -220,3 +220,58 @@ def test_pad_spliced_alone(spark):
     )
     first = pad_spliced(df).orderBy("pos").first()
     assert (first["inputs_embeds"], first["labels"], first["attention_mask"]) == ([[1, 2], [0, 0]], [5, -100], [1, 0])
+
+
+def test_wrong_rows_are_told_or_raised(spark):
+    kind = "batch_id bigint, pos bigint, input_ids array<bigint>, labels array<bigint>"
+    rows = [(0, 1, [1, 99], [1, 99]), (0, 2, [1, 1], [1, 1]), (0, 3, [99], [99]), (0, 4, [99, 5], [99, 5]), (0, 5, [99, 2], [99, 2])]
+    tokens = spark.createDataFrame(rows, kind)
+    segments = spark.createDataFrame([(p, [[9.0]]) for p in (1, 2, 4, 5)], "pos bigint, segment array<array<float>>")
+    table = spark.createDataFrame([(1, [1.0]), (2, None)], "id bigint, vector array<float>")
+    wrong = {r["pos"]: r["reason"] for r in splice_errors(tokens, segments, table, 99).collect()}
+    assert wrong == {2: "no marker", 3: "no segment", 4: "unknown id", 5: "unknown id"}
+    out = splice_batch(tokens, segments, table, 99, 1, strict=False).collect()
+    assert [(r["pos"], r["inputs_embeds"], r["labels"]) for r in out] == [(1, [[1.0], [9.0]], [1, -100])]
+    for pos, reason in wrong.items():
+        with pytest.raises(PySparkException, match="marker id 99 not found|" + reason):
+            splice_batch(tokens.where(F.col("pos") == pos), segments, table, 99, 1).collect()
+
+
+def test_unknown_and_unranked_ids(spark):
+    vocab = spark.createDataFrame([("a", 900), ("b", 7)], "token string, id bigint")
+    words = spark.createDataFrame([(1, ["a", "x", "b", "a"]), (2, []), (3, None)], "doc bigint, words array<string>")
+    coded = V.encode_ids(words, ["doc"], "words", vocab, ranked=False, unk_id=0).orderBy("doc").collect()
+    assert [r["ids"] for r in coded] == [[900, 0, 7, 900], [], []]
+    ids = spark.createDataFrame([(1, [7, 3, 900])], "doc bigint, ids array<bigint>")
+    assert V.decode_ids(ids, ["doc"], "ids", vocab, ranked=False, unk_token="?").first()["text"] == "b ? a"
+    asked = spark.createDataFrame([("b",), ("x",), (None,)], "token string")
+    found = {r["token"]: r["id"] for r in V.token_lookup(asked, vocab, ranked=False, unk_id=0).collect()}
+    assert found == {"b": 7, "x": 0, None: None}
+
+
+def test_inputs_are_read_once(spark, tmp_path):
+    path = str(tmp_path / "texts")
+    spark.range(0, 400, 1, 8).selectExpr("id as doc", "array('a', concat('w', id % 50), 'b') as words").write.parquet(path)
+    runs = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            runs.add(len(batch))
+            yield batch
+
+    words = spark.read.parquet(path).mapInArrow(counted, "doc bigint, words array<string>")
+    vocab = V.vocab_build(spark.read.parquet(path), "words")
+    runs.value = 0
+    assert V.encode_ids(words, ["doc"], "words", vocab).count() == 400
+    assert runs.value == 400
+
+
+def test_collate_with_features(spark):
+    rows = [(0, 1, "hi there", [0.5] * 500), (0, 2, "a", [0.1] * 3000), (1, 3, "x", [])]
+    df = spark.createDataFrame(rows, "batch_id bigint, pos bigint, text string, sound array<float>")
+    vocab = V.vocab_build(spark.createDataFrame([(["hi", "a"],)], "words array<string>"), "words")
+    out = collate(df, vocab, 0, audio="sound", audio_samples=1600, features=True, unk_id=1).orderBy("pos").collect()
+    assert set(out[0].asDict()) == {"batch_id", "pos", "input_ids", "attention_mask", "labels", "input_features", "audio_attention_mask"}
+    assert all(len(r["input_features"]) == 80 and len(r["input_features"][0]) == 10 for r in out)
+    assert [sum(r["audio_attention_mask"]) for r in out] == [4, 10, 0] and {len(r["audio_attention_mask"]) for r in out} == {10}
+    assert all(x is not None for r in out for x in r["input_ids"])

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from corpusloom import session
 from corpusloom.plans.evaluate import log_predictions
-from corpusloom.plans.prepare import load_corpora
+from corpusloom.plans.prepare import load_corpora, rejected_rows
 from corpusloom.sources import sinks
 from corpusloom.sources.corpora import SourceSpec, open_sources, read_tables
 
@@ -98,7 +98,10 @@ def test_log_predictions(spark, tmp_path):
     log_predictions(pairs.where("step >= 1000"), scalars, texts)
     got = sorted((r["run_id"], r["tag"], r["step"], r["value"]) for r in sinks.read_scalars(spark, scalars).collect())
     assert got == [(run, "eval/wer", step, 0.25) for run in ("r1", "r2") for step in (500, 1000)]
-    reports = sinks.read_texts(spark, texts).where("run_id = 'r2'").collect()
+    log_predictions(pairs.where("step = 500"), scalars, texts, part="again")
+    log_predictions(pairs.where("step = 500"), scalars, texts, part="again")
+    assert sinks.read_scalars(spark, scalars).count() == 6
+    reports = sinks.read_texts(spark, texts).where("run_id = 'r2' and step = 500").limit(2).collect()
     assert [r["text"].count("Truth: a b") for r in reports] == [5, 5]
 
 
@@ -109,3 +112,9 @@ def test_shared_folder_is_the_one_the_session_names(spark):
     else:
         assert session.shared_folder(spark) == session.shared_folder(spark)
 
+
+
+def test_rejected_rows_are_counted(spark):
+    rows = [("a", None, 1), ("", "", 1), (None, None, 1), ("b", None, 99), ("<SIL>", None, None)]
+    df = spark.createDataFrame(rows, "text string, sentence string, n int")
+    assert dict(rejected_rows(df, F.col("n"), 1, 10.0).collect()) == {"text": 2, "duration": 2}

@@ -95,6 +95,14 @@ def test_cast_audio_per_row(spark, arrow):
     assert {r["a"]["sampling_rate"] for r in got} == {16}
 
 
+@pytest.mark.parametrize("arrow", [True, False])
+def test_unknown_rates_give_no_samples(spark, arrow):
+    schema = "id int, audio struct<array: array<float>, sampling_rate: int>"
+    df = spark.createDataFrame([(0, ([1.0], None)), (1, ([1.0], 0)), (2, ([1.0], -8)), (3, None), (4, (None, 8)), (5, ([1.0], 16))], schema)
+    got = {r["id"]: r["a"]["array"] for r in df.select("id", A.cast_audio(F.col("audio"), 16, arrow).alias("a")).collect()}
+    assert got == {0: None, 1: None, 2: None, 3: None, 4: None, 5: [1.0]}
+
+
 def test_durations(spark):
     df = spark.createDataFrame([(32, 16), (33, 16), (None, 16), (5, 0), (5, None)], "n int, rate int")
     got = [r[0] for r in df.select(A.within_duration(F.col("n"), F.col("rate"), 2.0)).collect()]
@@ -129,3 +137,5 @@ def test_log_mel(spark):
     assert np.allclose(quiet, (-10 + 4) / 4)
     whole = A.log_mel(df, "id", "a", length=None).collect()
     assert len(whole) == 20
+    matrix = df.orderBy("id").select(A.mel_features(F.col("a"), 4800).alias("m")).first()["m"]
+    assert np.array_equal(np.array(matrix, dtype=np.float32).T, tone.astype(np.float32))
