@@ -255,12 +255,13 @@ def _candidates(nodes: DataFrame, found: DataFrame | None, percent: int) -> Data
 
 def _link_nodes(texts: DataFrame, nodes: DataFrame, words: int, percent: int) -> DataFrame:
     """(node, component) of linked nodes."""
-    found = links = None
+    found = links = tried = None
     while True:
         seen = _candidates(nodes, found, percent)
         pairs = seen.where("b is not null")
+        if tried is not None:  # those of earlier passes gave links or did not
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
         crowded = write_through(seen.where("b is null").select(F.col("a").alias("node")), "crowded")
-        first = found is None
         best = pairs.groupBy("b").agg(F.max(F.struct("match", (-F.col("a")).alias("_minus"))).alias("x"))
         best = write_through(best.select((-F.col("x._minus")).alias("a"), "b"), "best")
         new = _linked(texts, best, words, percent)
@@ -269,13 +270,16 @@ def _link_nodes(texts: DataFrame, nodes: DataFrame, words: int, percent: int) ->
         end_a, end_b = (found.select(F.col("node").alias(c), F.col("component").alias(f"_{c}")) for c in "ab")
         apart = pairs.join(best, ["a", "b"], "left_anti").join(end_a, "a", "left").join(end_b, "b", "left")
         apart = apart.where(F.coalesce("_a", "a") != F.coalesce("_b", "b")).select("a", "b")
-        more = _linked(texts, write_through(apart, "apart"), words, percent)
+        apart = write_through(apart, "apart")
+        more = _linked(texts, apart, words, percent)
         if not more.isEmpty():
             links = links.unionByName(more)
             found = connected_components(links, "a", "b")
         # With nothing new, or nobody left out, another pass would find the same.
-        if crowded.isEmpty() or (not first and new.isEmpty() and more.isEmpty()):
+        if crowded.isEmpty() or (new.isEmpty() and more.isEmpty()):
             return found
+        asked = best.unionByName(apart)
+        tried = asked if tried is None else tried.unionByName(asked)
         nodes = nodes.join(crowded, "node", "left_semi")
 
 

@@ -6,6 +6,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
+from corpusloom.llm import components
 from corpusloom.llm.components import connected_components
 from corpusloom.llm.neardup import Shingler, near_duplicates, signature
 from corpusloom.llm.queries import op8_near_duplicates
@@ -123,8 +124,9 @@ def test_signatures_estimate_similarity():
     assert len(shingler.shingles("")) == 0 and Shingler(3).shingles("A b").tolist() == Shingler(3).shingles("a B ").tolist()
 
 
-@pytest.mark.parametrize("seed", range(3))
-def test_components(spark, seed):
+@pytest.mark.parametrize("seed, most", [(0, 500_000), (1, 60), (2, 200)])
+def test_components(spark, monkeypatch, seed, most):
+    monkeypatch.setattr(components, "LINKS_PER_TASK", most)
     pick = random.Random(seed)
     links = [(pick.randrange(300), pick.randrange(300)) for _ in range(170)]
     links += [(1000 + i, 1001 + i) for i in range(200)] + [(2000, 2001 + i) for i in range(300)] + [(None, 1), (5, 5)] + links[:9]
