@@ -38,7 +38,7 @@ TREES, LEAST_DEPTH = 16, 4
 # Values of a label, and how far the labels of two trees begin apart.
 DEPTH, STRIDE = 16, 8
 # Rows on either side that a node is compared with in each tree, and how many of them are candidates.
-WINDOW, NEIGHBOURS = 64, 8
+WINDOW, NEIGHBOURS = 64, 4
 _HASHES = TREES * STRIDE
 # Ids whose texts are confirmed are broadcast up to this number, else joined by shuffle.
 MOST_BROADCAST_IDS = 4_000_000
@@ -255,32 +255,33 @@ def _candidates(nodes: DataFrame, found: DataFrame | None, percent: int) -> Data
 
 def _link_nodes(texts: DataFrame, nodes: DataFrame, words: int, percent: int) -> DataFrame:
     """(node, component) of linked nodes."""
-    found = links = tried = None
+    seen = _candidates(nodes, None, percent)
+    pairs = seen.where("b is not null")
+    best = pairs.groupBy("b").agg(F.max(F.struct("match", (-F.col("a")).alias("_minus"))).alias("x"))
+    best = write_through(best.select((-F.col("x._minus")).alias("a"), "b"), "best")
+    links = _linked(texts, best, words, percent)
+    found = connected_components(links, "a", "b")
+    end_a, end_b = (found.select(F.col("node").alias(c), F.col("component").alias(f"_{c}")) for c in "ab")
+    apart = pairs.join(best, ["a", "b"], "left_anti").join(end_a, "a", "left").join(end_b, "b", "left")
+    apart = apart.where(F.coalesce("_a", "a") != F.coalesce("_b", "b")).select("a", "b")
+    apart, tried = write_through(apart, "apart"), best
     while True:
-        seen = _candidates(nodes, found, percent)
-        pairs = seen.where("b is not null")
-        if tried is not None:  # those of earlier passes gave links or did not
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        crowded = write_through(seen.where("b is null").select(F.col("a").alias("node")), "crowded")
-        best = pairs.groupBy("b").agg(F.max(F.struct("match", (-F.col("a")).alias("_minus"))).alias("x"))
-        best = write_through(best.select((-F.col("x._minus")).alias("a"), "b"), "best")
-        new = _linked(texts, best, words, percent)
-        links = new if links is None else links.unionByName(new)
-        found = connected_components(links, "a", "b")
-        end_a, end_b = (found.select(F.col("node").alias(c), F.col("component").alias(f"_{c}")) for c in "ab")
-        apart = pairs.join(best, ["a", "b"], "left_anti").join(end_a, "a", "left").join(end_b, "b", "left")
-        apart = apart.where(F.coalesce("_a", "a") != F.coalesce("_b", "b")).select("a", "b")
-        apart = write_through(apart, "apart")
-        more = _linked(texts, apart, words, percent)
-        if not more.isEmpty():
-            links = links.unionByName(more)
+        new = _linked(texts, apart, words, percent)
+        nothing = new.isEmpty()
+        if not nothing:
+            links = links.unionByName(new)
             found = connected_components(links, "a", "b")
+        crowded = write_through(seen.where("b is null").select(F.col("a").alias("node")), "crowded")
         # With nothing new, or nobody left out, another pass would find the same.
-        if crowded.isEmpty() or (new.isEmpty() and more.isEmpty()):
+        if crowded.isEmpty() or (nothing and tried is not best):
             return found
-        asked = best.unionByName(apart)
-        tried = asked if tried is None else tried.unionByName(asked)
+        tried = tried.unionByName(apart)
         nodes = nodes.join(crowded, "node", "left_semi")
+        # Ends of these pairs are in different components; those of earlier passes gave links or did not.
+        seen = _candidates(nodes, found, percent)
+        apart = write_through(
+            seen.where("b is not null").select("a", "b").join(tried, ["a", "b"], "left_anti"), "apart"
+        )
 
 
 def near_duplicates(
