@@ -7,10 +7,9 @@ from pyspark.sql import functions as F
 
 from corpusloom.session import fresh_path, write_through
 
-__all__ = ["NOT_A_WORD", "WORD", "crc_remainder", "documents", "fresh_path", "hash_share", "word_count", "write_through"]
+__all__ = ["WORD", "crc_remainder", "documents", "fresh_path", "hash_share", "table", "word_count", "write_through"]
 
 # Words are runs of anything but these six characters.
-NOT_A_WORD = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
