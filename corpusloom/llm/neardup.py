@@ -7,15 +7,21 @@ the longest common prefix. A node is compared with up to ``WINDOW`` rows on eith
 least ``LEAST_DEPTH`` values of the label with it: where few nodes share so much, these are all of
 them; in a crowded region they are those that share more, so the depth adapts to the region. A
 sketch of the signature, carried along, ranks them, and the best ``NEIGHBOURS`` that may be similar
-enough are candidates. Their number grows with the nodes, never with the square of a region. The
-orders are made by range partitioning on (tree, label, node), so a region of any size is spread over
-as many tasks as it needs.
+enough are the first candidates. Their number grows with the nodes, never with the square of a region.
+The orders are made by range partitioning on (tree, label, node), so a region of any size is spread
+over as many tasks as it needs.
 
 Candidates are confirmed on the full sets: first the most promising one of each node, then those
 whose ends are not connected yet; one whose ends are connected already could not change any
 component. Nodes with more neighbours than could be candidates go through the forest again, now
 only against nodes of other components, until a round connects nothing more.
 
+This links most, but the window, the rank and the edges of ranges leave pairs out. So at last every
+pair that shares ``LEAST_DEPTH`` values in any tree is compared whose ends are still in different
+components: runs of equal prefixes that hold more than one component are cut into blocks, each pair
+of blocks is a group of bounded size, and what may be similar enough and was not tried is confirmed
+in rounds of bounded size, the most promising pairs first.
+
 The chance that a pair at exactly the threshold of 0.85 meets in none of 16 trees at depth 4 is
 below one in 100,000, and it falls with similarity.
 """
@@ -39,9 +45,13 @@ TREES, LEAST_DEPTH = 16, 4
 DEPTH, STRIDE = 16, 8
 # Rows on either side that a node is compared with in each tree, and how many of them are candidates.
 WINDOW, NEIGHBOURS = 64, 4
+# Rows of a block of a run, and pairs that are confirmed before components are computed again.
+BLOCK_ROWS, ROUND_PAIRS = 256, 250_000
 _HASHES = TREES * STRIDE
 # Ids whose texts are confirmed are broadcast up to this number, else joined by shuffle.
 MOST_BROADCAST_IDS = 4_000_000
+# Pairs that a task holds before it hands them on.
+HELD_PAIRS = 100_000
 # Hashes of words that a worker keeps.
 KEPT_WORDS = 400_000
 
@@ -194,6 +204,72 @@ def _neighbours(percent: int, least_match: int):
     return pairs, "a long, b long, match int"
 
 
+def _block_pairs(percent: int, least_match: int):
+    """All pairs (a, b, match) that may be similar enough among rows (run, low, high, side, node, component, n, sketch).
+
+    Rows come sorted by (run, low, high), a group. With ``low = high`` a group is one block, all rows of
+    which are compared, else only rows of different sides are.
+    """
+    names = ("run", "low", "high", "side", "node", "component", "n")
+
+    def compared(now: dict[str, np.ndarray], ends: np.ndarray) -> Iterator[pa.RecordBatch]:
+        rows = ends[-1]
+        left = ends[np.searchsorted(ends, np.arange(rows), side="right")] - np.arange(rows) - 1
+        one_block = now["low"] == now["high"]
+        at, found, held = np.flatnonzero(left > 0), [], 0
+
+        def batch() -> pa.RecordBatch:
+            x, y = (now["node"][np.concatenate(c)] for c in list(zip(*found))[:2])
+            match = np.concatenate([f[2] for f in found])
+            columns = [
+                pa.array(np.minimum(x, y), pa.int64()), pa.array(np.maximum(x, y), pa.int64()), pa.array(match, pa.int32())
+            ]
+            return pa.RecordBatch.from_arrays(columns, ["a", "b", "match"])
+
+        step = 0
+        while len(at):
+            step += 1
+            to = at + step
+            a, b = now["n"][at], now["n"][to]
+            near = now["component"][at] != now["component"][to]
+            near &= one_block[at] | (now["side"][at] != now["side"][to])
+            near &= 100 * np.minimum(a, b) >= percent * np.maximum(a, b)
+            x, y = at[near], to[near]
+            match = (now["sketch"][x] == now["sketch"][y]).sum(axis=1)
+            enough = match >= least_match
+            if enough.any():
+                found.append((x[enough], y[enough], match[enough]))
+                held += len(found[-1][0])
+            if held >= HELD_PAIRS:
+                yield batch()
+                found, held = [], 0
+            at = at[left[at] > step]
+        if found:
+            yield batch()
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tail = None
+        for rows in batches:
+            if not len(rows):
+                continue
+            new = {k: rows.column(i).to_numpy(zero_copy_only=False) for i, k in enumerate(names)}
+            sketches = b"".join(rows.column(len(names)).to_pylist())
+            new["sketch"] = np.frombuffer(sketches, dtype=np.uint8).reshape(len(rows), _HASHES)
+            now = new if tail is None else {k: np.concatenate([tail[k], v]) for k, v in new.items()}
+            unlike = np.zeros(len(now["run"]) - 1, dtype=bool)
+            for k in ("run", "low", "high"):
+                unlike |= now[k][1:] != now[k][:-1]
+            ends = np.flatnonzero(unlike) + 1
+            if len(ends):
+                yield from compared({k: v[: ends[-1]] for k, v in now.items()}, ends)
+            # The last group may go on in the next batch.
+            tail = {k: v[ends[-1] :] for k, v in now.items()} if len(ends) else now
+        if tail is not None:
+            yield from compared(tail, np.array([len(tail["run"])]))
+
+    return pairs, "a long, b long, match int"
+
+
 def _confirmed(text_a: Column, text_b: Column, words: int, percent: int) -> Column:
     """Whether 100 times the intersection of the full sets is at least ``percent`` times their union."""
 
@@ -228,31 +304,94 @@ def _linked(texts: DataFrame, pairs: DataFrame, words: int, percent: int) -> Dat
     return write_through(sure.where("_sure").select("a", "b"), "confirmed-links")
 
 
-def _candidates(nodes: DataFrame, found: DataFrame | None, percent: int) -> DataFrame:
-    """Candidate pairs (a, b, match) of one pass through the forest, and rows (a, null, 0) for crowded nodes."""
-    if found is None:
-        placed = nodes.withColumn("component", F.col("node"))
-    else:
-        placed = nodes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+def _labels(depth: int) -> list[Column]:
+    """The first ``depth`` values of the label in each tree."""
     values = F.substring("sig", 1, 2 * _HASHES)
     twice = F.concat(values, values)
-    labels = [F.substring(twice, 2 * STRIDE * t + 1, 2 * DEPTH) for t in range(TREES)]
-    rows = placed.select(
-        F.posexplode(F.array(*labels)).alias("tree", "label"),
-        "node",
-        "component",
-        "n",
-        # The sketch: one byte of each value.
-        F.substring("sig", 2 * _HASHES + 1, _HASHES).alias("sketch"),
-    )
+    return [F.substring(twice, 2 * STRIDE * t + 1, 2 * depth) for t in range(TREES)]
+
+
+def _sketch() -> Column:
+    """One byte of each value."""
+    return F.substring("sig", 2 * _HASHES + 1, _HASHES).alias("sketch")
+
+
+def _least_match(percent: int) -> int:
+    """Equal bytes of two sketches from which on a pair may be similar enough: five standard deviations below."""
     deviation = (_HASHES * percent / 100 * (1 - percent / 100)) ** 0.5
-    pairs, kind = _neighbours(percent, int(_HASHES * percent / 100 - 5 * deviation))
+    return int(_HASHES * percent / 100 - 5 * deviation)
+
+
+def _placed(nodes: DataFrame, found: DataFrame | None) -> DataFrame:
+    """Nodes with their component."""
+    if found is None:
+        return nodes.withColumn("component", F.col("node"))
+    return nodes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+
+def _apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose ends are in different components."""
+    end_a, end_b = (found.select(F.col("node").alias(c), F.col("component").alias(f"_{c}")) for c in "ab")
+    pairs = pairs.join(end_a, "a", "left").join(end_b, "b", "left")
+    return pairs.where(F.coalesce("_a", "a") != F.coalesce("_b", "b")).select("a", "b")
+
+
+def _candidates(nodes: DataFrame, found: DataFrame | None, percent: int) -> DataFrame:
+    """Candidate pairs (a, b, match) of one pass through the forest, and rows (a, null, 0) for crowded nodes."""
+    rows = _placed(nodes, found).select(
+        F.posexplode(F.array(*_labels(DEPTH))).alias("tree", "label"), "node", "component", "n", _sketch()
+    )
+    pairs, kind = _neighbours(percent, _least_match(percent))
     ordered = rows.repartitionByRange("tree", "label", "node").sortWithinPartitions("tree", "label", "node")
     return write_through(
         ordered.mapInArrow(pairs, kind).groupBy("a", "b").agg(F.max("match").alias("match")), "candidates"
     )
 
 
+def _untried(nodes: DataFrame, found: DataFrame, tried: DataFrame, percent: int) -> DataFrame:
+    """Every pair (a, b, match) in different components that shares a prefix, may be similar enough and was not tried."""
+    # A run is known by a hash: should two have the same one, more pairs are compared.
+    runs = [F.xxhash64(F.lit(t), label) for t, label in enumerate(_labels(LEAST_DEPTH))]
+    rows = _placed(nodes, found).select(F.explode(F.array(*runs)).alias("run"), "node", "component", "n", _sketch())
+    mixed = rows.groupBy("run").agg(
+        F.count("*").alias("_rows"), F.min("component").alias("_least"), F.max("component").alias("_most")
+    )
+    blocks = F.ceil(F.col("_rows") / BLOCK_ROWS).cast("int").alias("blocks")
+    mixed = write_through(mixed.where("_least <> _most").select("run", blocks), "runs")
+    rows = rows.join(F.broadcast(mixed) if mixed.count() <= MOST_BROADCAST_IDS else mixed, "run")
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    met = rows.withColumn("_own", own).withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    groups = met.select(
+        "run",
+        F.least("_own", "_other").alias("low"),
+        F.greatest("_own", "_other").alias("high"),
+        (F.col("_own") > F.col("_other")).cast("int").alias("side"),
+        "node",
+        "component",
+        "n",
+        "sketch",
+    )
+    key = ("run", "low", "high")
+    pairs, kind = _block_pairs(percent, _least_match(percent))
+    compared = groups.repartition(*key).sortWithinPartitions(*key).mapInArrow(pairs, kind)
+    once = compared.groupBy("a", "b").agg(F.max("match").alias("match"))
+    return write_through(once.join(tried, ["a", "b"], "left_anti"), "untried")
+
+
+def _rounds(pairs: DataFrame) -> Iterator[DataFrame]:
+    """All of the pairs, those of the highest match first, in parts of about ``ROUND_PAIRS`` at most."""
+    counts = sorted(((r["match"], r["count"]) for r in pairs.groupBy("match").count().collect()), reverse=True)
+    while counts:
+        high, total = counts.pop(0)
+        low = high
+        while counts and total + counts[0][1] <= ROUND_PAIRS:
+            low, count = counts.pop(0)
+            total += count
+        level, parts = pairs.where(F.col("match").between(low, high)), -(-total // ROUND_PAIRS)
+        for part in range(parts):
+            yield level.where(F.pmod(F.xxhash64("a", "b"), F.lit(parts)) == part)
+
+
 def _link_nodes(texts: DataFrame, nodes: DataFrame, words: int, percent: int) -> DataFrame:
     """(node, component) of linked nodes."""
     seen = _candidates(nodes, None, percent)
@@ -261,10 +400,8 @@ def _link_nodes(texts: DataFrame, nodes: DataFrame, words: int, percent: int) ->
     best = write_through(best.select((-F.col("x._minus")).alias("a"), "b"), "best")
     links = _linked(texts, best, words, percent)
     found = connected_components(links, "a", "b")
-    end_a, end_b = (found.select(F.col("node").alias(c), F.col("component").alias(f"_{c}")) for c in "ab")
-    apart = pairs.join(best, ["a", "b"], "left_anti").join(end_a, "a", "left").join(end_b, "b", "left")
-    apart = apart.where(F.coalesce("_a", "a") != F.coalesce("_b", "b")).select("a", "b")
-    apart, tried = write_through(apart, "apart"), best
+    apart = write_through(_apart(pairs.join(best, ["a", "b"], "left_anti"), found), "apart")
+    tried, every = best, nodes
     while True:
         new = _linked(texts, apart, words, percent)
         nothing = new.isEmpty()
@@ -273,15 +410,22 @@ def _link_nodes(texts: DataFrame, nodes: DataFrame, words: int, percent: int) ->
             found = connected_components(links, "a", "b")
         crowded = write_through(seen.where("b is null").select(F.col("a").alias("node")), "crowded")
         # With nothing new, or nobody left out, another pass would find the same.
-        if crowded.isEmpty() or (nothing and tried is not best):
-            return found
+        last = crowded.isEmpty() or (nothing and tried is not best)
         tried = tried.unionByName(apart)
+        if last:
+            break
         nodes = nodes.join(crowded, "node", "left_semi")
         # Ends of these pairs are in different components; those of earlier passes gave links or did not.
         seen = _candidates(nodes, found, percent)
         apart = write_through(
             seen.where("b is not null").select("a", "b").join(tried, ["a", "b"], "left_anti"), "apart"
         )
+    for part in _rounds(_untried(every, found, tried, percent)):
+        new = _linked(texts, write_through(_apart(part, found), "apart"), words, percent)
+        if not new.isEmpty():
+            links = links.unionByName(new)
+            found = connected_components(links, "a", "b")
+    return found
 
 
 def near_duplicates(

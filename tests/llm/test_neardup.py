@@ -6,7 +6,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
-from corpusloom.llm import components
+from corpusloom.llm import components, neardup
 from corpusloom.llm.components import connected_components
 from corpusloom.llm.neardup import Shingler, near_duplicates, signature
 from corpusloom.llm.queries import op8_near_duplicates
@@ -86,6 +86,37 @@ def test_one_crowded_group(spark):
     check(spark, list(enumerate(rows)))
 
 
+def form_letters(count, seed):
+    """Letters of one form, most pairs of which lie just below the threshold, and a few links just above it."""
+    pick = random.Random(seed)
+    base = ["w%d" % i for i in range(300)]
+    rows = [list(base) for _ in range(count)]
+    for row in rows:
+        for place in pick.sample(range(300), 5):
+            row[place] = "x%d" % pick.randrange(10**6)
+    for i in range(0, count, 8):  # a copy with changes of its own, so that it is a little nearer to one letter
+        rows.append(list(rows[i]))
+        for place in pick.sample(range(300), 8):
+            rows[-1][place] = "y%d" % pick.randrange(10**6)
+    pick.shuffle(rows)
+    return list(enumerate(" ".join(row) for row in rows))
+
+
+@pytest.mark.parametrize("window, neighbours", [(64, 1), (2, 1)])
+def test_links_among_form_letters_are_found_whatever_the_window(spark, monkeypatch, window, neighbours):
+    monkeypatch.setattr(neardup, "WINDOW", window)
+    monkeypatch.setattr(neardup, "NEIGHBOURS", neighbours)
+    check(spark, form_letters(80, 12))
+
+
+def test_blocks_of_a_run(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "BLOCK_ROWS", 16)
+    monkeypatch.setattr(neardup, "ROUND_PAIRS", 300)
+    monkeypatch.setattr(neardup, "HELD_PAIRS", 100)
+    monkeypatch.setattr(neardup, "WINDOW", 1)
+    check(spark, form_letters(80, 12))
+
+
 def test_default_is_five_words_and_four_fifths(spark):
     pick = random.Random(9)
     base = ["w%d" % i for i in range(200)]
