@@ -9,7 +9,10 @@ the one whose rule fits.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -98,6 +101,16 @@ SENTENCES: dict[str, str] = {
     "reserved": "All rights reserved",
 }
 
+_TERMS = (
+    "you can redistribute it and/or modify it under the terms of the GNU {} General Public License as published by "
+    "the Free Software Foundation, either version 3 of the License, or (at your option) any later version"
+)
+# The same for published headers that the SQL does not know.
+PUBLISHED: dict[str, str] = {
+    "lgpl-3-terms": _TERMS.format("Lesser"),
+    "agpl-3-terms": _TERMS.format("Affero"),
+}
+
 # Licences and the sentences, next to each other among the known ones, that make them; matched in this order.
 RULES: list[tuple[str, tuple[str, ...]]] = [
     ("BSD-3-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-names")),
@@ -135,6 +148,13 @@ RULES: list[tuple[str, tuple[str, ...]]] = [
     ("Unlicense", ("unlicense",)),
     ("All-rights-reserved", ("reserved",)),
 ]
+# The same for published headers; their sentences are in no rule above.
+PUBLISHED_RULES: list[tuple[str, tuple[str, ...]]] = [
+    ("LGPL-3.0-or-later", ("gpl-free", "lgpl-3-terms")),
+    ("AGPL-3.0-or-later", ("gpl-free", "agpl-3-terms")),
+    ("LGPL-3.0-or-later", ("lgpl-3-terms",)),
+    ("AGPL-3.0-or-later", ("agpl-3-terms",)),
+]
 
 
 def normal_form(sentence: str) -> str:
@@ -159,13 +179,35 @@ def cue_words(sentences: Mapping[str, str]) -> list[str]:
     return cues
 
 
+def _pieces(sentence: str) -> list[str]:
+    """What the cut into sentences makes of a known sentence that has an end mark inside."""
+    return [piece for piece in map(normal_form, re.split(r"[.!?;:]+[\x20\x09-\x0D]+", sentence)) if piece]
+
+
 def _known(value: Column, end: str, sentences: Mapping[str, str]) -> Column:
-    names = F.create_map(*[F.lit(x) for name, s in sentences.items() for x in (normal_form(s), name)])
-    found = F.transform(F.split(value, end), lambda s: names[_normalised(s)])
+    forms = {normal_form(s): name for name, s in sentences.items()}
+    # Known by its pieces, next to each other, unless the first is a known sentence of its own.
+    broken = {tuple(_pieces(s)): name for name, s in sentences.items() if len(_pieces(s)) > 1}
+    broken = {pieces: name for pieces, name in broken.items() if pieces[0] not in forms}
+    names = F.create_map(*[F.lit(x) for pair in forms.items() for x in pair])
+    cut = F.transform(F.split(value, end), _normalised)
+
+    def named(all_: Column) -> Column:
+        def name_of(piece: Column, i: Column) -> Column:
+            name = names[piece]
+            for pieces, whole in broken.items():
+                rest = [F.get(all_, i + k).eqNullSafe(F.lit(pieces[k])) for k in range(1, len(pieces))]
+                name = F.when(reduce(and_, rest, piece == pieces[0]), F.lit(whole)).otherwise(name)
+            return name
+
+        return F.transform(all_, name_of)
+
+    # Bound once, as the pieces after one are looked at too.
+    found = F.transform(F.array(cut), named)[0]
     return F.filter(found, lambda name: name.isNotNull())
 
 
-def sentence_ids(text: Column, sentences: Mapping[str, str] = SENTENCES) -> tuple[Column, Column]:
+def sentence_ids(text: Column, sentences: Mapping[str, str] = SENTENCES | PUBLISHED) -> tuple[Column, Column]:
     """The known sentences of a text in their order, cut across lines and cut at lines; empty arrays for null."""
     value = F.coalesce(text, F.lit(""))
     # Lossless: a text without any cue word has no known sentence.
@@ -176,7 +218,7 @@ def sentence_ids(text: Column, sentences: Mapping[str, str] = SENTENCES) -> tupl
     )
 
 
-def matched_licences(ids: Column, rules: Sequence[tuple[str, tuple[str, ...]]] = RULES) -> Column:
+def matched_licences(ids: Column, rules: Sequence[tuple[str, tuple[str, ...]]] = (*PUBLISHED_RULES, *RULES)) -> Column:
     """The licences whose rules match a sequence of identifiers, in the order of the rules; an array without repeats."""
     # Written as ,a,,b, each identifier has its own commas, so rules cannot match across names.
     sequence = F.concat(F.lit(","), F.array_join(ids, ",,"), F.lit(","))
@@ -201,8 +243,8 @@ def matched_licences(ids: Column, rules: Sequence[tuple[str, tuple[str, ...]]] =
 
 def licence_scan(
     text: Column,
-    sentences: Mapping[str, str] = SENTENCES,
-    rules: Sequence[tuple[str, tuple[str, ...]]] = RULES,
+    sentences: Mapping[str, str] = SENTENCES | PUBLISHED,
+    rules: Sequence[tuple[str, tuple[str, ...]]] = (*PUBLISHED_RULES, *RULES),
 ) -> Column:
     """A struct of ``sentences``, the identifiers found line by line, and ``licences``, sorted and without repeats.
 

@@ -81,6 +81,33 @@ def test_every_sentence_alone_is_found(spark):
     assert all(got[name] == [name] for name in SENTENCES if name not in split)
 
 
+GRANT = """    This program is free software: you can redistribute it and/or modify
+    it under the terms of the GNU {} General Public License as
+    published by the Free Software Foundation, either version 3 of the
+    License, or (at your option) any later version.
+
+    This program is distributed in the hope that it will be useful,
+"""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. {}. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/.
+"""
+
+
+def test_published_headers(spark):
+    cases = [
+        (MPL.format("2.0"), "MPL-2.0"), (MPL.format("1.1"), ""), (SENTENCES["mpl-2-notice"], "MPL-2.0"),
+        ("2.0. " + MPL.format("2.0") + "2.0. Released under the MIT License.", "MIT,MPL-2.0"),
+        (GRANT.format("Lesser"), "LGPL-3.0-or-later"), (GRANT.format("Affero"), "AGPL-3.0-or-later"),
+        (" ".join(GRANT.format("Lesser").replace("program", "library").split()), "LGPL-3.0-or-later"),
+        (SENTENCES["gpl-3-grant"] + ".", "GPL-3.0-or-later"),
+    ]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "i int, text string")
+    found = df.select("i", licence_scan(F.col("text")).alias("s")).collect()
+    got = {r["i"]: ",".join(r["s"]["licences"]) for r in found}
+    assert [got[i] for i in range(len(cases))] == [licences for _, licences in cases]
+
+
 def test_no_rows(spark):
     empty = spark.createDataFrame([], "text string")
     assert empty.select(licence_scan(F.col("text"))).collect() == []
