@@ -8,6 +8,7 @@ from corpusloom.catalog.registry import query
 from corpusloom.functions.words import format_wer as percent
 from corpusloom.functions.words import word_list
 from corpusloom.operators import scoring as W
+from corpusloom.operators.pairing import zip_by_position
 
 WITH = f"with recursive {S.EDITS_SQL} "
 
@@ -28,6 +29,49 @@ def pair_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Predictions that share no key with the references: documents by language and id, turns by conversation and turn.
+_ZIP_SQL = """left_rows as (select conv_id, turn, row_number() over (order by conv_id, turn) as pos from conversations),
+  right_rows as (select lang, doc_id, row_number() over (order by lang desc, doc_id) as pos from documents)"""
+
+
+def zipped(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    references = S.read_table(spark, sf_dir, "conversations").select("conv_id", "turn")
+    predictions = S.documents(spark, sf_dir).select("lang", "doc_id")
+    return zip_by_position(references, predictions, ["conv_id", "turn"], [F.desc("lang"), "doc_id"], strict=False)
+
+
+@query("zip_by_position", f"with {_ZIP_SQL} select pos, conv_id, turn, lang, doc_id from left_rows join right_rows using (pos)")
+def zip_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns and documents paired by position in two orders of their own."""
+    return zipped(spark, sf_dir)[0]
+
+
+@query(
+    "zip_lengths",
+    """with n as (select (select count(*) from conversations) as n_left, (select count(*) from documents) as n_right)
+    select n_left, n_right, least(n_left, n_right) as n_paired, greatest(n_left - n_right, 0) as left_surplus,
+      greatest(n_right - n_left, 0) as right_surplus from n""",
+)
+def zip_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many rows of either table were paired and how many are left over."""
+    return zipped(spark, sf_dir)[1]
+
+
+@query(
+    "wer_zipped",
+    WITH + """, ordered as (select *, row_number() over (order by conv_id, turn) as pos from scored)
+    select pos % 10 as part, cast(sum(edits) as bigint) as edits, cast(sum(ref_words) as bigint) as ref_words from ordered group by pos % 10""",
+)
+def wer_zipped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word errors of references and predictions that only their order connects."""
+    pairs = S.prediction_pairs(spark, sf_dir)
+    references = pairs.select("conv_id", "turn", "reference")
+    predictions = pairs.select(F.col("conv_id").alias("c"), F.col("turn").alias("t"), "prediction")
+    zipped_pairs, _ = zip_by_position(references, predictions, ["conv_id", "turn"], ["c", "t"])
+    scored = W.score_pairs(zipped_pairs).withColumn("part", F.col("pos") % 10)
+    return W.wer_corpus(scored, ["part"]).drop("wer")
+
+
 @query(
     "word_edits", WITH + "select conv_id, turn, cast(edits as bigint) as edits, ref_words from scored"
 )
