@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from corpusloom.catalog import standins as S
 from corpusloom.catalog.registry import query
 from corpusloom.functions.text import INSTRUCTION_TEMPLATE, split_ws
+from corpusloom.operators import subwords as B
 from corpusloom.operators import vocabulary as V
 from corpusloom.operators.ordinal import attach_ordinal
 from corpusloom.plans.collate import collate as collate_rows
@@ -80,6 +81,46 @@ def decode_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return V.decode_ids(coded, ["doc_id"], "ids", vocab, skip=["the"])
 
 
+# Subwords.
+
+MERGES = 8
+
+
+def document_word_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return B.word_counts(S.documents(spark, sf_dir).select(split_ws(F.col("text")).alias("words")), "words")
+
+
+_CHARACTERS_SQL = f"""{VOCAB_SQL}, cut as (select token, uses,
+    list_prepend('▁' || token[1:1], list_filter(string_split(token[2:], ''), lambda c: c <> '')) as s from counted),
+  pairs as (select s[i] as "left", s[i + 1] as "right", uses from (select s, uses, unnest(range(1, len(s))) as i from cut))"""
+
+
+@query(
+    "subword_pairs",
+    f'''with {_CHARACTERS_SQL} select "left", "right", cast(sum(uses) as bigint) as uses from pairs group by 1, 2''',
+)
+def subword_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often two characters follow each other within a word."""
+    return B.pair_counts(document_word_counts(spark, sf_dir))
+
+
+@query("subword_merges")
+def subword_merges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first merges of a vocabulary trained on all documents, in their order."""
+    merges = B.train_merges(document_word_counts(spark, sf_dir), MERGES)
+    rows = [(rank, *merge) for rank, merge in enumerate(merges)]
+    return spark.createDataFrame(rows, "rank int, left string, right string, uses bigint")
+
+
+@query("subword_decode", f"select doc_id, array_to_string({S.sql_split('text')}, ' ') as text from documents")
+def subword_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts cut into subwords and joined again."""
+    merges = B.train_merges(document_word_counts(spark, sf_dir), MERGES // 2)
+    rows = S.documents(spark, sf_dir).select("doc_id", split_ws(F.col("text")).alias("words"))
+    tokens = rows.select("doc_id", B.subword_tokens(F.col("words"), merges).alias("tokens"))
+    return tokens.select("doc_id", B.subword_text(F.col("tokens")).alias("text"))
+
+
 # The collator. Word lengths stand for samples, sixteen of them for a second.
 
 RATE = 16
