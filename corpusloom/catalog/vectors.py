@@ -10,6 +10,7 @@ from corpusloom.functions import audio as A
 from corpusloom.functions import vectors as V
 from corpusloom.functions.sequences import pad_audio as pad
 from corpusloom.operators import embedding as E
+from corpusloom.operators import recordings as R
 from corpusloom.plans.collate import splice_batch as splice
 
 DIM = 64
@@ -235,3 +236,75 @@ def log_mel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frames.select(
         "doc_id", "frame", F.round(F.aggregate("mel", F.lit(0.0), lambda acc, x: acc + x), 3).alias("total")
     )
+
+
+# Recordings in chunks. A text is far shorter than a recording, so chunks are as well.
+
+CHUNK = 1000
+
+
+def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.chunk_recordings(sounds(spark, sf_dir), "doc_id", "a", CHUNK)
+
+
+@query(
+    "frame_energy_chunks",
+    f"""with {SAMPLES_SQL},
+    frames as (select doc_id, f, a[f * 160 + 1: f * 160 + 400] as part
+      from (select doc_id, a, unnest(range(0, (len(a) + 159) // 160)) as f from sounds))
+    select doc_id, f as frame, round(sqrt(list_sum(list_transform(part, lambda x: cast(x as double) * x)) / len(part)), 6) as energy
+    from frames""",
+)
+def frame_energy_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frames across the borders of chunks are those of whole recordings."""
+    frames = R.frame_energies(chunks(spark, sf_dir), "doc_id", CHUNK)
+    return frames.withColumn("energy", F.round("energy", 6))
+
+
+@query(
+    "fit_chunks",
+    f"""with {SAMPLES_SQL}, fitted as (select doc_id, a[1:2500] || list_transform(range(greatest(0, 2500 - len(a))), lambda i: 0::float) as b,
+      least(len(a), 2500) as n from sounds where len(a) > 0),
+    parts as (select doc_id, c, b[c * 1000 + 1: c * 1000 + 1000] as s, n from (select *, unnest(range(3)) as c from fitted))
+    select doc_id, c as chunk, len(s) as n, cast(greatest(0, least(len(s), n - c * 1000)) as int) as n_set,
+      round(list_sum(list_transform(s, lambda x, i: cast(x as double) * i)), 4) as total from parts""",
+)
+def fit_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fitted = R.fit_chunks(chunks(spark, sf_dir), "doc_id", 2500, CHUNK)
+    return fitted.select("doc_id", "chunk", F.size("samples").cast("bigint").alias("n"), "n_set", weighted_sum(F.col("samples")).alias("total"))
+
+
+@query("log_mel_chunks")
+def log_mel_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Equal to ``log_mel`` for texts long enough not to be mirrored more than once."""
+    long = sounds(spark, sf_dir).where(F.size("a") > A.FRAME_SAMPLES // 2)
+    frames = R.log_mel_chunks(R.chunk_recordings(long, "doc_id", "a", CHUNK), "doc_id", CHUNK)
+    return frames.select("doc_id", "frame", F.round(F.aggregate("mel", F.lit(0.0), lambda acc, x: acc + x), 3).alias("total"))
+
+
+# Weights of each place between two samples, and their products with the samples around it, written out.
+_SINC_SQL = """bank as (select list(w order by phase) as weights from (
+    select phase, list(case when abs(d) < 16 / 0.63 then 0.63 * case when d = 0 then 1 else sin(pi() * 0.63 * d) / (pi() * 0.63 * d) end
+      * pow(cos(pi() * d * 0.63 / 32), 2) else 0 end order by j) as w
+    from (select phase, j, phase / 2.0::double - (j - 25) as d from range(2) p(phase), range(52) t(j)) group by phase)),
+  padded as (select doc_id, len(a) as size, list_transform(range(26), lambda i: 0::double) || list_transform(a, lambda x: x::double)
+    || list_transform(range(26), lambda i: 0::double) as wave from sounds),
+  cut as (select doc_id, size, unnest(range(0, size, 1000)) as low, wave[unnest(range(0, size, 1000)) + 1 : unnest(range(0, size, 1000)) + 1052] as wave from padded),
+  made as (select doc_id, n, list_dot_product(wave[n * 3 // 2 - low + 2 : n * 3 // 2 - low + 53], weights[n * 3 % 2 + 1]) as y
+    from (select *, unnest(range((low * 2 + 2) // 3, (least(size, low + 1000) * 2 + 2) // 3)) as n from cut), bank)"""
+
+
+@query(
+    "resample_sinc",
+    f"""with {SAMPLES_SQL}, {_SINC_SQL}
+    select doc_id, count(*) as n, round(sum(y * (n + 1)) / count(*), 4) as total, round(max(y), 6) as most from made group by doc_id""",
+)
+def resample_sinc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From 24 to 16 kHz without folding, over the borders of chunks."""
+    made = R.resample_chunks(chunks(spark, sf_dir), "doc_id", 24000, 16000, CHUNK, rolloff=0.945)
+    values = made.select("doc_id", "start", F.posexplode("samples").alias("at", "y"))
+    return values.groupBy("doc_id").agg(
+        F.count("*").alias("n"),
+        F.round(F.sum(F.col("y") * (F.col("start") + F.col("at") + 1)) / F.count("*"), 4).alias("total"),
+        F.round(F.max("y"), 6).alias("most"),
+    )
