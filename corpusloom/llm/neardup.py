@@ -13,23 +13,29 @@ over as many tasks as it needs.
 
 Candidates are confirmed on the full sets: first the most promising one of each node, then those
 whose ends are not connected yet; one whose ends are connected already could not change any
-component. Nodes with more neighbours than could be candidates go through the forest again, now
-only against nodes of other components, until a round connects nothing more.
-
-This links most, but the window, the rank and the edges of ranges leave pairs out. So at last every
-pair that shares ``LEAST_DEPTH`` values in any tree is compared whose ends are still in different
-components: runs of equal prefixes that hold more than one component are cut into blocks, each pair
-of blocks is a group of bounded size, and what may be similar enough and was not tried is confirmed
-in rounds of bounded size, the most promising pairs first.
-
-The chance that a pair at exactly the threshold of 0.85 meets in none of 16 trees at depth 4 is
+component.
+
+The window, the rank and the edges of ranges leave pairs out, and then both nodes are known to be
+crowded. These nodes, and no others, go on in forests of fresh hash functions whose depth adapts: in each tree a node
+belongs to the shallowest prefix, from ``LEAST_DEPTH`` values on, whose nodes have no more than
+``CROSSING`` pairs of different components each on average. So linked nodes cost nothing, and a
+region of unlinked but similar ones is cut as deep as it needs. Within such a prefix all pairs of different
+components are compared, by larger sketches. The chance that a tree brings a pair together follows from the depth, for
+which the deepest of a node's prefixes in a forest is taken, and a node takes part in further forests until a pair at
+the threshold is missed with a chance of less than ``MOST_MISSED``. Work is the number of crowded nodes times trees times ``CROSSING``; no
+node is compared with a whole region.
+
+The chance that a pair at exactly the threshold of 0.85 meets in none of the first 16 trees at depth 4 is
 below one in 100,000, and it falls with similarity.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
+from functools import reduce
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -45,8 +51,13 @@ TREES, LEAST_DEPTH = 16, 4
 DEPTH, STRIDE = 16, 8
 # Rows on either side that a node is compared with in each tree, and how many of them are candidates.
 WINDOW, NEIGHBOURS = 64, 4
-# Rows of a block of a run, and pairs that are confirmed before components are computed again.
-BLOCK_ROWS, ROUND_PAIRS = 256, 250_000
+# Values of the prefixes that a crowded node may belong to, pairs of different components per node of a prefix, and
+# nodes of its main component that are compared in one task.
+DEPTHS, CROSSING, BLOCK_ROWS = (4, 6, 8, 11, 16, 24, 36, 54), 256, 1024
+# Chance to miss a pair at the threshold at which a crowded node has had trees enough.
+MOST_MISSED = 1e-5
+# Hash functions of a fresh forest; four bits of each make its sketch.
+_FRESH = 1024
 _HASHES = TREES * STRIDE
 # Ids whose texts are confirmed are broadcast up to this number, else joined by shuffle.
 MOST_BROADCAST_IDS = 4_000_000
@@ -131,7 +142,8 @@ def _described(words: int):
 def _neighbours(percent: int, least_match: int):
     """Candidate pairs (a, b, match) among rows (tree, label, node, component, n, sketch) that come in sorted order.
 
-    A row (a, null, 0) says that the node has more neighbours than could be candidates.
+    A row (a, null, 0) says that the node is crowded: it has more neighbours than could be candidates, more rows of
+    its prefix than the window has, or its prefix may go on in another task.
     """
     names = ("tree", "label", "node", "component", "n", "sketch")
 
@@ -144,7 +156,13 @@ def _neighbours(percent: int, least_match: int):
         return order[rank < NEIGHBOURS], mine[order[first[counts > NEIGHBOURS]]]
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tail = None
+        tail, last_run, started = None, None, False
+
+        def flagged(nodes: np.ndarray) -> pa.RecordBatch:
+            n = len(nodes)
+            columns = [pa.array(nodes, pa.int64()), pa.nulls(n, pa.int64()), pa.array(np.zeros(n), pa.int32())]
+            return pa.RecordBatch.from_arrays(columns, ["a", "b", "match"])
+
         for batch in batches:
             rows = len(batch)
             if not rows:
@@ -157,13 +175,25 @@ def _neighbours(percent: int, least_match: int):
             new |= {"label": fixed(1, 2 * DEPTH), "sketch": fixed(5, _HASHES)}
             held = 0 if tail is None else len(tail["node"])
             now = new if tail is None else {k: np.concatenate([tail[k], new[k]]) for k in names}
-            tail = {k: v[-WINDOW:] for k, v in now.items()}
+            tail = {k: v[-WINDOW - 1 :] for k, v in now.items()}
             prefix = np.ascontiguousarray(now["label"][:, : 2 * LEAST_DEPTH]).view(np.uint64)[:, 0]
             same_as_next = np.r_[(prefix[1:] == prefix[:-1]) & (now["tree"][1:] == now["tree"][:-1]), False]
             # How many rows from this one on share its prefix: equal ones are next to each other.
             ends = np.flatnonzero(~same_as_next)
             length = ends[np.searchsorted(ends, np.arange(len(prefix)))] - np.arange(len(prefix))
             found, crowded = [], []
+            # Rows with more of their prefix on one side than the window has, and those of the task's first prefix.
+            far = np.flatnonzero(length > WINDOW)
+            crowded += [far, far + WINDOW + 1]
+            run = np.searchsorted(ends, np.arange(len(prefix)))
+            if not started:
+                crowded.append(np.flatnonzero(run == 0))
+                first_run = (now["tree"][0], prefix[0])
+                started = True
+            elif (now["tree"][0], prefix[0]) == first_run:
+                crowded.append(np.flatnonzero(run == 0))
+            last_run = now["node"][run == run[-1]]
+            yield flagged(np.unique(now["node"][np.concatenate(crowded)]))
             for step in range(1, WINDOW + 1):
                 at = np.flatnonzero(length >= step)
                 # Pairs within the held rows came with the batch before.
@@ -180,8 +210,6 @@ def _neighbours(percent: int, least_match: int):
                 match = (now["sketch"][at] == now["sketch"][to]).sum(axis=1)
                 enough = match >= least_match
                 found.append((at[enough], to[enough], match[enough]))
-                if step == WINDOW:
-                    crowded.append(at[enough])
             if not found:
                 continue
             at, to, match = (np.concatenate(c) for c in zip(*found))
@@ -191,7 +219,7 @@ def _neighbours(percent: int, least_match: int):
             right, more_right = best_of(to, at, match)
             kept = np.union1d(left, right)
             x, y = now["node"][at[kept]], now["node"][to[kept]]
-            more = now["node"][np.unique(np.concatenate([more_left, more_right, *crowded]))]
+            more = now["node"][np.unique(np.concatenate([more_left, more_right]))]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.concatenate([np.minimum(x, y), more]), pa.int64()),
@@ -200,52 +228,88 @@ def _neighbours(percent: int, least_match: int):
                 ],
                 ["a", "b", "match"],
             )
+        # The last prefix may go on in the next task.
+        if last_run is not None:
+            yield flagged(last_run)
 
     return pairs, "a long, b long, match int"
 
 
-def _block_pairs(percent: int, least_match: int):
-    """All pairs (a, b, match) that may be similar enough among rows (run, low, high, side, node, component, n, sketch).
+def _fresh_functions(turn: int) -> tuple[np.ndarray, np.ndarray]:
+    draw = np.random.default_rng([20240229, turn])
+    return (
+        draw.integers(1, 1 << 63, _FRESH, dtype=np.uint64) * np.uint64(2) + np.uint64(1),
+        draw.integers(0, 1 << 63, _FRESH, dtype=np.uint64),
+    )
+
+
+def _fresh_signatures(words: int, turn: int):
+    """Rows (node, text) as (node, n, keys, sketch): a number for each tree and depth, and four bits of each hash function."""
+    kind = pa.schema([("node", pa.int64()), ("n", pa.int64()), ("keys", pa.list_(pa.int64())), ("sketch", pa.binary())])
+    factors, terms = _fresh_functions(turn)
+    weights = np.random.default_rng([turn, 7]).integers(1, 1 << 62, max(DEPTHS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler(words)
+        for batch in batches:
+            columns: list[list] = [batch.column(0).to_pylist(), [], [], []]
+            for value in batch.column(1):
+                shingles = shingler.shingles(value.as_py())
+                least = np.full(_FRESH, np.iinfo(np.uint64).max, dtype=np.uint64)
+                for at in range(0, len(shingles), 256):
+                    np.minimum(least, (shingles[at : at + 256, None] * factors + terms).min(axis=0), out=least)
+                # A tree's prefixes are made of functions of its own, each prefix of those before it.
+                own = (least * _PLACES[1])[: TREES * max(DEPTHS)].reshape(TREES, max(DEPTHS))
+                chained = np.cumsum((own >> np.uint64(20)) * weights, axis=1, dtype=np.uint64)[:, [d - 1 for d in DEPTHS]]
+                trees = np.arange(TREES, dtype=np.uint64)[:, None] * _PLACES[2] + np.arange(len(DEPTHS), dtype=np.uint64) * _PLACES[3]
+                bits = ((least * _PLACES[0]) >> np.uint64(60)).astype(np.uint8)
+                columns[1].append(len(shingles))
+                columns[2].append(((chained ^ (chained >> np.uint64(29))) * _PLACES[4] + trees).view(np.int64).ravel())
+                columns[3].append((bits[: _FRESH // 2] << 4 | bits[_FRESH // 2 :]).tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, kind)], schema=kind)
+
+    return sign, "node long, n long, keys array<long>, sketch binary"
+
+
+def _block_pairs(percent: int):
+    """All pairs (a, b, match) of different components that may be similar enough among rows (key, block, minor, node, component, n, sketch).
 
-    Rows come sorted by (run, low, high), a group. With ``low = high`` a group is one block, all rows of
-    which are compared, else only rows of different sides are.
+    Rows come sorted by (key, block), a group. Two minor rows are compared in block 0 only.
     """
-    names = ("run", "low", "high", "side", "node", "component", "n")
+    names = ("key", "block", "minor", "node", "component", "n")
+    least_match = _least_match(percent, _FRESH, 16)
+    few = _least_match(percent, _HASHES, 16)
 
     def compared(now: dict[str, np.ndarray], ends: np.ndarray) -> Iterator[pa.RecordBatch]:
         rows = ends[-1]
         left = ends[np.searchsorted(ends, np.arange(rows), side="right")] - np.arange(rows) - 1
-        one_block = now["low"] == now["high"]
-        at, found, held = np.flatnonzero(left > 0), [], 0
-
-        def batch() -> pa.RecordBatch:
-            x, y = (now["node"][np.concatenate(c)] for c in list(zip(*found))[:2])
-            match = np.concatenate([f[2] for f in found])
-            columns = [
-                pa.array(np.minimum(x, y), pa.int64()), pa.array(np.maximum(x, y), pa.int64()), pa.array(match, pa.int32())
-            ]
-            return pa.RecordBatch.from_arrays(columns, ["a", "b", "match"])
-
-        step = 0
+        packed = now["sketch"][:rows]
+        bits = np.concatenate([packed >> 4, packed & 15], axis=1)
+        part = np.ascontiguousarray(bits[:, :_HASHES])
+        at, found, held, step = np.flatnonzero(left > 0), [], 0, 0
         while len(at):
             step += 1
             to = at + step
             a, b = now["n"][at], now["n"][to]
             near = now["component"][at] != now["component"][to]
-            near &= one_block[at] | (now["side"][at] != now["side"][to])
+            near &= ~(now["minor"][at] & now["minor"][to]) | (now["block"][at] == 0)
             near &= 100 * np.minimum(a, b) >= percent * np.maximum(a, b)
             x, y = at[near], to[near]
-            match = (now["sketch"][x] == now["sketch"][y]).sum(axis=1)
+            # A part of the sketch tells most pairs apart.
+            maybe = (part[x] == part[y]).sum(axis=1) >= few
+            x, y = x[maybe], y[maybe]
+            match = (bits[x] == bits[y]).sum(axis=1)
             enough = match >= least_match
             if enough.any():
                 found.append((x[enough], y[enough], match[enough]))
                 held += len(found[-1][0])
-            if held >= HELD_PAIRS:
-                yield batch()
-                found, held = [], 0
             at = at[left[at] > step]
-        if found:
-            yield batch()
+            if held >= HELD_PAIRS or (held and not len(at)):
+                x, y, match = (np.concatenate(c) for c in zip(*found))
+                x, y = now["node"][x], now["node"][y]
+                columns = [pa.array(np.minimum(x, y), pa.int64()), pa.array(np.maximum(x, y), pa.int64()), pa.array(match, pa.int32())]
+                yield pa.RecordBatch.from_arrays(columns, ["a", "b", "match"])
+                found, held = [], 0
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tail = None
@@ -254,18 +318,16 @@ def _block_pairs(percent: int, least_match: int):
                 continue
             new = {k: rows.column(i).to_numpy(zero_copy_only=False) for i, k in enumerate(names)}
             sketches = b"".join(rows.column(len(names)).to_pylist())
-            new["sketch"] = np.frombuffer(sketches, dtype=np.uint8).reshape(len(rows), _HASHES)
+            new["sketch"] = np.frombuffer(sketches, dtype=np.uint8).reshape(len(rows), _FRESH // 2)
             now = new if tail is None else {k: np.concatenate([tail[k], v]) for k, v in new.items()}
-            unlike = np.zeros(len(now["run"]) - 1, dtype=bool)
-            for k in ("run", "low", "high"):
-                unlike |= now[k][1:] != now[k][:-1]
+            unlike = (now["key"][1:] != now["key"][:-1]) | (now["block"][1:] != now["block"][:-1])
             ends = np.flatnonzero(unlike) + 1
             if len(ends):
-                yield from compared({k: v[: ends[-1]] for k, v in now.items()}, ends)
+                yield from compared(now, ends)
             # The last group may go on in the next batch.
             tail = {k: v[ends[-1] :] for k, v in now.items()} if len(ends) else now
         if tail is not None:
-            yield from compared(tail, np.array([len(tail["run"])]))
+            yield from compared(tail, np.array([len(tail["key"])]))
 
     return pairs, "a long, b long, match int"
 
@@ -316,16 +378,17 @@ def _sketch() -> Column:
     return F.substring("sig", 2 * _HASHES + 1, _HASHES).alias("sketch")
 
 
-def _least_match(percent: int) -> int:
-    """Equal bytes of two sketches from which on a pair may be similar enough: five standard deviations below."""
-    deviation = (_HASHES * percent / 100 * (1 - percent / 100)) ** 0.5
-    return int(_HASHES * percent / 100 - 5 * deviation)
+def _least_match(percent: int, hashes: int = _HASHES, values: int = 256) -> int:
+    """Equal parts of two sketches from which on a pair may be similar enough: five standard deviations below.
+
+    A part has so many ``values``, and parts of unequal hashes are equal by chance.
+    """
+    share = percent / 100 + (1 - percent / 100) / values
+    return int(hashes * share - 5 * (hashes * share * (1 - share)) ** 0.5)
 
 
-def _placed(nodes: DataFrame, found: DataFrame | None) -> DataFrame:
+def _placed(nodes: DataFrame, found: DataFrame) -> DataFrame:
     """Nodes with their component."""
-    if found is None:
-        return nodes.withColumn("component", F.col("node"))
     return nodes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
 
@@ -336,11 +399,9 @@ def _apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
     return pairs.where(F.coalesce("_a", "a") != F.coalesce("_b", "b")).select("a", "b")
 
 
-def _candidates(nodes: DataFrame, found: DataFrame | None, percent: int) -> DataFrame:
-    """Candidate pairs (a, b, match) of one pass through the forest, and rows (a, null, 0) for crowded nodes."""
-    rows = _placed(nodes, found).select(
-        F.posexplode(F.array(*_labels(DEPTH))).alias("tree", "label"), "node", "component", "n", _sketch()
-    )
+def _candidates(nodes: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs (a, b, match) of the forest, and rows (a, null, 0) for crowded nodes."""
+    rows = nodes.select(F.posexplode(F.array(*_labels(DEPTH))).alias("tree", "label"), "node", F.col("node").alias("component"), "n", _sketch())
     pairs, kind = _neighbours(percent, _least_match(percent))
     ordered = rows.repartitionByRange("tree", "label", "node").sortWithinPartitions("tree", "label", "node")
     return write_through(
@@ -348,84 +409,94 @@ def _candidates(nodes: DataFrame, found: DataFrame | None, percent: int) -> Data
     )
 
 
-def _untried(nodes: DataFrame, found: DataFrame, tried: DataFrame, percent: int) -> DataFrame:
-    """Every pair (a, b, match) in different components that shares a prefix, may be similar enough and was not tried."""
-    # A run is known by a hash: should two have the same one, more pairs are compared.
-    runs = [F.xxhash64(F.lit(t), label) for t, label in enumerate(_labels(LEAST_DEPTH))]
-    rows = _placed(nodes, found).select(F.explode(F.array(*runs)).alias("run"), "node", "component", "n", _sketch())
-    mixed = rows.groupBy("run").agg(
-        F.count("*").alias("_rows"), F.min("component").alias("_least"), F.max("component").alias("_most")
-    )
-    blocks = F.ceil(F.col("_rows") / BLOCK_ROWS).cast("int").alias("blocks")
-    mixed = write_through(mixed.where("_least <> _most").select("run", blocks), "runs")
-    rows = rows.join(F.broadcast(mixed) if mixed.count() <= MOST_BROADCAST_IDS else mixed, "run")
+def _met(depth: int, percent: int) -> float:
+    """What a tree in which a node's prefix has this depth adds to minus the logarithm of the chance to miss a pair."""
+    return -math.log1p(-((percent / 100) ** depth))
+
+
+def _fresh_forest(texts: DataFrame, pending: DataFrame, found: DataFrame, words: int, percent: int, turn: int) -> tuple[DataFrame, DataFrame]:
+    """Candidate pairs (a, b, match) of pending nodes, and (node, met): what these trees add for a node."""
+    chosen = F.broadcast(pending) if pending.count() <= MOST_BROADCAST_IDS else pending
+    sign, kind = _fresh_signatures(words, turn)
+    needed = texts.join(chosen, texts["_key"] == pending["node"], "left_semi").select(F.col("_key").alias("node"), "_text")
+    # Rows of one id are one document, each text of which counts once.
+    signed = needed.mapInArrow(sign, kind).withColumn("mark", F.xxhash64("sketch")).dropDuplicates(["node", "mark"])
+    signed = write_through(_placed(signed, found), "fresh")
+    steps = len(DEPTHS)
+    trees = F.transform(F.sequence(F.lit(0), F.lit(TREES - 1)), lambda t: F.slice("keys", t * steps + 1, F.lit(steps)))
+    rows, fitting, deeper = signed.select("node", "mark", "component", F.explode(trees).alias("keys")), [], []
+    for step in range(steps):
+        keyed = rows.withColumn("key", F.get("keys", F.lit(step)))
+        counts = keyed.groupBy("key", "component").agg(F.count("*").alias("c"))
+        size = F.sum("c")
+        groups = counts.groupBy("key").agg(
+            size.alias("size"), (size * size - F.sum(F.col("c") * F.col("c"))).alias("crossing"), F.max(F.struct("c", "component")).alias("lead")
+        )
+        mixed = groups.where("crossing > 0").withColumn("fits", F.col("crossing") <= 2 * CROSSING * F.col("size"))
+        last = step + 1 == steps
+        blocks = F.ceil(F.col("size") / BLOCK_ROWS).cast("int").alias("blocks")
+        mixed = write_through(mixed.select("key", "fits", blocks, F.col("lead.component").alias("lead")), "prefixes")
+        kept = keyed.join(mixed if last else mixed.where("fits"), "key")
+        fitting.append(write_through(kept.select("key", "node", "mark", "component", "blocks", "lead", "fits"), "prefix-rows"))
+        if last or mixed.where("not fits").isEmpty():
+            break
+        rows = write_through(keyed.join(mixed.where("not fits").select("key"), "key", "left_semi").drop("key"), "deeper")
+        deeper.append(rows.select("node", F.lit(TREES * _met(DEPTHS[step + 1], percent)).alias("met")))
+    # Prefixes that a node shares with many are deeper, so all trees count as the deepest one does.
+    met = reduce(DataFrame.unionByName, [signed.select("node", F.lit(TREES * _met(DEPTHS[0], percent)).alias("met")), *deeper])
+    met = met.groupBy("node").agg(F.min("met").alias("met"))
+
+    every = reduce(DataFrame.unionByName, fitting)
+    # All of few other components go to each block of the main one. Where even the deepest prefix has too many, blocks are compared within.
+    minor = (F.col("component") != F.col("lead")) & F.col("fits")
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    met = rows.withColumn("_own", own).withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    groups = met.select(
-        "run",
-        F.least("_own", "_other").alias("low"),
-        F.greatest("_own", "_other").alias("high"),
-        (F.col("_own") > F.col("_other")).cast("int").alias("side"),
-        "node",
-        "component",
-        "n",
-        "sketch",
-    )
-    key = ("run", "low", "high")
-    pairs, kind = _block_pairs(percent, _least_match(percent))
-    compared = groups.repartition(*key).sortWithinPartitions(*key).mapInArrow(pairs, kind)
-    once = compared.groupBy("a", "b").agg(F.max("match").alias("match"))
-    return write_through(once.join(tried, ["a", "b"], "left_anti"), "untried")
-
-
-def _rounds(pairs: DataFrame) -> Iterator[DataFrame]:
-    """All of the pairs, those of the highest match first, in parts of about ``ROUND_PAIRS`` at most."""
-    counts = sorted(((r["match"], r["count"]) for r in pairs.groupBy("match").count().collect()), reverse=True)
-    while counts:
-        high, total = counts.pop(0)
-        low = high
-        while counts and total + counts[0][1] <= ROUND_PAIRS:
-            low, count = counts.pop(0)
-            total += count
-        level, parts = pairs.where(F.col("match").between(low, high)), -(-total // ROUND_PAIRS)
-        for part in range(parts):
-            yield level.where(F.pmod(F.xxhash64("a", "b"), F.lit(parts)) == part)
+    places = F.when(minor, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(own))
+    dealt = every.select("key", F.explode(places).alias("block"), minor.alias("minor"), "node", "mark", "component")
+    dealt = dealt.join(signed.select("node", "mark", "n", "sketch"), ["node", "mark"])
+    dealt = dealt.select("key", "block", "minor", "node", "component", "n", "sketch")
+    pairs, kind = _block_pairs(percent)
+    compared = dealt.repartition("key", "block").sortWithinPartitions("key", "block").mapInArrow(pairs, kind)
+    return write_through(compared.groupBy("a", "b").agg(F.max("match").alias("match")), "fresh-candidates"), met
+
+
+def _best(pairs: DataFrame) -> DataFrame:
+    """The most promising pair of each second node."""
+    best = pairs.groupBy("b").agg(F.max(F.struct("match", (-F.col("a")).alias("_minus"))).alias("x"))
+    return write_through(best.select((-F.col("x._minus")).alias("a"), "b"), "best")
 
 
 def _link_nodes(texts: DataFrame, nodes: DataFrame, words: int, percent: int) -> DataFrame:
     """(node, component) of linked nodes."""
-    seen = _candidates(nodes, None, percent)
+    seen = _candidates(nodes, percent)
     pairs = seen.where("b is not null")
-    best = pairs.groupBy("b").agg(F.max(F.struct("match", (-F.col("a")).alias("_minus"))).alias("x"))
-    best = write_through(best.select((-F.col("x._minus")).alias("a"), "b"), "best")
+    best = _best(pairs)
     links = _linked(texts, best, words, percent)
     found = connected_components(links, "a", "b")
-    apart = write_through(_apart(pairs.join(best, ["a", "b"], "left_anti"), found), "apart")
-    tried, every = best, nodes
-    while True:
-        new = _linked(texts, apart, words, percent)
-        nothing = new.isEmpty()
-        if not nothing:
-            links = links.unionByName(new)
-            found = connected_components(links, "a", "b")
-        crowded = write_through(seen.where("b is null").select(F.col("a").alias("node")), "crowded")
-        # With nothing new, or nobody left out, another pass would find the same.
-        last = crowded.isEmpty() or (nothing and tried is not best)
-        tried = tried.unionByName(apart)
-        if last:
-            break
-        nodes = nodes.join(crowded, "node", "left_semi")
-        # Ends of these pairs are in different components; those of earlier passes gave links or did not.
-        seen = _candidates(nodes, found, percent)
-        apart = write_through(
-            seen.where("b is not null").select("a", "b").join(tried, ["a", "b"], "left_anti"), "apart"
-        )
-    for part in _rounds(_untried(every, found, tried, percent)):
-        new = _linked(texts, write_through(_apart(part, found), "apart"), words, percent)
+
+    def confirm(rest: DataFrame) -> None:
+        """Link what is in different components and similar enough."""
+        nonlocal links, found
+        rest = write_through(_apart(rest, found), "apart")
+        new = _linked(texts, rest, words, percent)
         if not new.isEmpty():
-            links = links.unionByName(new)
+            links = write_through(links.unionByName(new), "all-links")
             found = connected_components(links, "a", "b")
-    return found
+
+    confirm(pairs.join(best, ["a", "b"], "left_anti"))
+    tried = pairs.select("a", "b")
+    crowded = write_through(seen.where("b is null").select(F.col("a").alias("node")).distinct(), "crowded")
+    met = crowded.withColumn("met", F.lit(0.0))
+    for turn in count():
+        if crowded.isEmpty():
+            return found
+        pairs, more = _fresh_forest(texts, crowded, found, words, percent, turn)
+        pairs = write_through(pairs.join(tried, ["a", "b"], "left_anti"), "untried")
+        best = _best(pairs)
+        confirm(best)
+        confirm(pairs.join(best, ["a", "b"], "left_anti"))
+        tried = tried.unionByName(pairs.select("a", "b"))
+        met = write_through(met.unionByName(more).groupBy("node").agg(F.sum("met").alias("met")), "met")
+        crowded = write_through(met.where(F.col("met") < -math.log(MOST_MISSED)).select("node"), "crowded")
 
 
 def near_duplicates(

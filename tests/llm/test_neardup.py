@@ -109,14 +109,25 @@ def test_links_among_form_letters_are_found_whatever_the_window(spark, monkeypat
     check(spark, form_letters(80, 12))
 
 
-def test_blocks_of_a_run(spark, monkeypatch):
-    monkeypatch.setattr(neardup, "BLOCK_ROWS", 16)
-    monkeypatch.setattr(neardup, "ROUND_PAIRS", 300)
+@pytest.mark.parametrize("crossing, block", [(40, 16), (1000, 16)])
+def test_deep_prefixes_and_blocks(spark, monkeypatch, crossing, block):
+    monkeypatch.setattr(neardup, "CROSSING", crossing)
+    monkeypatch.setattr(neardup, "BLOCK_ROWS", block)
     monkeypatch.setattr(neardup, "HELD_PAIRS", 100)
     monkeypatch.setattr(neardup, "WINDOW", 1)
     check(spark, form_letters(80, 12))
 
 
+def test_many_form_letters(spark):
+    check(spark, form_letters(450, 3))
+
+
+def test_texts_of_one_id_in_a_crowded_group(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "NEIGHBOURS", 1)
+    rows = form_letters(60, 5)
+    check(spark, [*rows, *((i, text) for (i, _), (_, text) in zip(rows[:6], rows[10:]))])
+
+
 def test_default_is_five_words_and_four_fifths(spark):
     pick = random.Random(9)
     base = ["w%d" % i for i in range(200)]
