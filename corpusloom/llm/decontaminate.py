@@ -114,7 +114,7 @@ def _pieces(start: int, end: int, leaves: int, above: tuple[tuple[int, int, int]
 class PassageFinder:
     """Finds the items in texts. Items without a letter or digit are never found."""
 
-    def __init__(self, items: Iterable[tuple[int, str | None]], chars_per_edit: int = CHARS_PER_EDIT) -> None:
+    def __init__(self, items: Iterable[tuple[int | None, str | None]], chars_per_edit: int = CHARS_PER_EDIT) -> None:
         self.items = [(i, text, len(text) // chars_per_edit) for i, t in items if (text := normalise(t))]
         places: dict[str, list[tuple[int, int, tuple]]] = {}
         for n, (_, text, budget) in enumerate(self.items):
@@ -138,7 +138,7 @@ class PassageFinder:
         _, back = myers(text[::-1], window[:end][::-1])
         return best, end - back, end
 
-    def find(self, text: str | None) -> list[tuple[int, int, int, int]]:
+    def find(self, text: str | None) -> list[tuple[int | None, int, int, int]]:
         """(item_id, distance, start, end) of the nearest occurrence of each item found, the first of equally near ones."""
         if self.empty or not text:
             return []
@@ -161,7 +161,8 @@ class PassageFinder:
                 if distance <= budget:
                     found = (distance, low + start, low + end)
                     best[n] = min(best.get(n, found), found)
-        return sorted((self.items[n][0], d, *original_span(text, a, b)) for n, (d, a, b) in best.items())
+        found = [(self.items[n][0], d, *original_span(text, a, b)) for n, (d, a, b) in best.items()]
+        return sorted(found, key=lambda x: (x[0] is not None, x[0] or 0, *x[1:]))
 
 
 def _finding(shared: Broadcast, chars_per_edit: int):
@@ -193,19 +194,20 @@ def benchmark_leaks(
     """The items found in a text as an array of (item_id, distance, start, end) by item_id; empty for null or empty texts.
 
     Positions are code points of the original text. An item may have one edit for every
-    ``chars_per_edit`` of its normalised characters. Null items and those without letters or digits
-    are found nowhere; items of equal text are all reported; no items, no leaks. The items are
+    ``chars_per_edit`` of its normalised characters, and may begin and end within a word. Items with a null text and those
+    without letters or digits are found nowhere; an item without an id, or of one that is no long, is searched for
+    like any other and reported with a null id, first. Items of equal text are all reported; no items, no leaks. The items are
     broadcast in blocks of at most ``block_chars`` characters (and one item), each of which is
-    searched for in every text. A column function: repeated rows and other columns stay.
+    searched for in every text, however long. A column function: repeated rows and other columns stay.
     """
-    chosen = items.select(F.col(item_id).cast("long").alias("_id"), F.col(item_text).alias("_text"))
-    chosen = chosen.where(F.col("_id").isNotNull() & F.col("_text").isNotNull())
+    chosen = items.select(F.col(item_id).try_cast("long").alias("_id"), F.col(item_text).alias("_text"))
+    chosen = chosen.where(F.col("_text").isNotNull())
     total = chosen.agg(F.coalesce(F.sum(F.length("_text")), F.lit(0))).first()[0]
     blocks = max(1, -(-total // block_chars))
     columns = []
     for block in range(blocks):
-        part = chosen.where(F.pmod(F.xxhash64("_id"), F.lit(blocks)) == block) if blocks > 1 else chosen
-        shared = spark.sparkContext.broadcast(sorted((r["_id"], r["_text"]) for r in part.toLocalIterator()))
+        part = chosen.where(F.pmod(F.xxhash64("_id", "_text"), F.lit(blocks)) == block) if blocks > 1 else chosen
+        shared = spark.sparkContext.broadcast(sorted(map(tuple, part.toLocalIterator()), key=lambda x: (x[0] is not None, x[0] or 0, x[1])))
 
         columns.append(_finding(shared, chars_per_edit)(text))
     return columns[0] if blocks == 1 else F.array_sort(F.concat(*columns))

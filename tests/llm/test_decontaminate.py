@@ -88,3 +88,11 @@ def test_query_equals_plain_search(spark, small):
     assert {(d, i) for d, t in docs for i, b in items if b in t} <= {(r["doc_id"], r["item_id"]) for r in got}
     texts, parts = dict(docs), dict(items)
     assert got and all(nearest(parts[r["item_id"]], texts[r["doc_id"]]) == r["distance"] for r in got)
+
+
+def test_items_without_an_id_are_searched_for(spark):
+    items = spark.createDataFrame([(None, "lazy dogs sleep all day long"), ("x7", "quick brown foxes"), ("3", "banana bread")], "item_id string, text string")
+    texts = spark.createDataFrame([(1, "the lazy dogs sleep all day long"), (2, "quick brown foxes, banana bread"), (3, "")], "doc_id int, text string")
+    got = texts.select("doc_id", F.explode(benchmark_leaks(spark, F.col("text"), items, block_chars=20)).alias("leak")).select("doc_id", "leak.item_id").collect()
+    assert sorted(((r["doc_id"], r["item_id"]) for r in got), key=str) == [(1, None), (2, 3), (2, None)]
+

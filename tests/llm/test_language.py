@@ -51,7 +51,9 @@ def test_nothing_to_learn_from(spark):
 
 
 def test_letters():
-    assert letters("Ab1c--É_f  ") == "ab c é f" and letters("²3 ") in ("", "²") and letters(None) == ""
+    assert letters("Ab1c--É_f  ") == "ab c é f" and letters(None) == ""
+    assert letters("²3 ½ Ⅷ ٣ ① _") == "" and letters("x² Ⅷb") == "x b"
+    assert all(letters(c) == "" or any(x.isalpha() for x in c.lower()) for c in map(chr, range(0x3000)))
 
 
 def test_held_out_accuracy(spark, small):
