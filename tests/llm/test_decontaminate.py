@@ -75,7 +75,7 @@ def test_nulls_empties_blocks_and_names(spark):
     docs = spark.createDataFrame([(i, t, 7) for i, t in enumerate(texts)], "doc_id long, text string, item_id int")
     for block in (10, 1000):
         got = docs.withColumn("leaks", benchmark_leaks(spark, F.col("text"), bench, block_chars=block)).collect()
-        assert [[(x["item_id"], x["distance"]) for x in r["leaks"]] for r in got] == [[], [], [(1, 0), (4, 0)], [], [(5, 0)]]
+        assert [[(x["item_id"], x["distance"]) for x in r["leaks"]] for r in got] == [[], [], [(None, 0), (1, 0), (4, 0)], [(None, 0)], [(5, 0)]]
         assert all(r["item_id"] == 7 for r in got)
     none = docs.select(F.size(benchmark_leaks(spark, F.col("text"), bench.where("false"))).alias("n"))
     assert {r["n"] for r in none.collect()} == {0}
