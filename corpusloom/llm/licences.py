@@ -105,7 +105,7 @@ _TERMS = (
     "you can redistribute it and/or modify it under the terms of the GNU {} General Public License as published by "
     "the Free Software Foundation, either version 3 of the License, or (at your option) any later version"
 )
-# The same for published headers that the SQL does not know.
+# The same for the terms in published headers.
 PUBLISHED: dict[str, str] = {
     "lgpl-3-terms": _TERMS.format("Lesser"),
     "agpl-3-terms": _TERMS.format("Affero"),
@@ -184,11 +184,16 @@ def _pieces(sentence: str) -> list[str]:
     return [piece for piece in map(normal_form, re.split(r"[.!?;:]+[\x20\x09-\x0D]+", sentence)) if piece]
 
 
+def _broken(sentences: Mapping[str, str]) -> dict[tuple[str, ...], str]:
+    """Sentences that are known by their pieces, next to each other, unless the first is a known sentence of its own."""
+    forms = {normal_form(s) for s in sentences.values()}
+    broken = {tuple(_pieces(s)): name for name, s in sentences.items() if len(_pieces(s)) > 1}
+    return {pieces: name for pieces, name in broken.items() if pieces[0] not in forms}
+
+
 def _known(value: Column, end: str, sentences: Mapping[str, str]) -> Column:
     forms = {normal_form(s): name for name, s in sentences.items()}
-    # Known by its pieces, next to each other, unless the first is a known sentence of its own.
-    broken = {tuple(_pieces(s)): name for name, s in sentences.items() if len(_pieces(s)) > 1}
-    broken = {pieces: name for pieces, name in broken.items() if pieces[0] not in forms}
+    broken = _broken(sentences)
     names = F.create_map(*[F.lit(x) for pair in forms.items() for x in pair])
     cut = F.transform(F.split(value, end), _normalised)
 
@@ -258,7 +263,8 @@ def licence_scan(
 
 
 def oracle_sql(
-    sentences: Mapping[str, str] = SENTENCES, rules: Sequence[tuple[str, tuple[str, ...]]] = RULES
+    sentences: Mapping[str, str] = SENTENCES | PUBLISHED,
+    rules: Sequence[tuple[str, tuple[str, ...]]] = (*PUBLISHED_RULES, *RULES),
 ) -> str:
     """The same for DuckDB over ``documents``: doc_id, n_sentences, sentences and licences, joined by commas."""
 
@@ -266,7 +272,7 @@ def oracle_sql(
         return "'" + value.replace("'", "''") + "'"
 
     known = ", ".join(f"({quoted(normal_form(s))}, {quoted(name)})" for name, s in sentences.items())
-    lower = f"translate(s, '{UPPER}', '{LOWER}')"
+    lower, broken = f"translate(s, '{UPPER}', '{LOWER}')", _broken(sentences)
 
     steps, last = [], "start"
     for i, (name, parts) in enumerate(rules):
@@ -284,11 +290,11 @@ def oracle_sql(
     return f"""
 with known(k, v) as (values {known}),
 table_of as (select map_from_entries(list((k, v))) as m from known),
+pieces as (
+  select doc_id, {_sql_cut(SENTENCE_END, lower, quoted)} as p, {_sql_cut(LINE_SENTENCE_END, lower, quoted)} as q from documents
+),
 cut as (
-  select doc_id,
-    {_sql_known(SENTENCE_END, lower, quoted)} as across,
-    {_sql_known(LINE_SENTENCE_END, lower, quoted)} as lines
-  from documents, table_of
+  select doc_id, {_sql_known("p", broken, quoted)} as across, {_sql_known("q", broken, quoted)} as lines from pieces, table_of
 ),
 start as (
   select doc_id, lines, ',' || array_to_string(across, ',,') || ',' as a, ',' || array_to_string(lines, ',,') || ',' as b,
@@ -302,9 +308,15 @@ from {last}
 """
 
 
-def _sql_known(end: str, lower: str, quoted) -> str:
+def _sql_cut(end: str, lower: str, quoted) -> str:
     cut = f"regexp_split_to_array(coalesce(text, ''), {quoted(end)})"
-    return (
-        f"list_filter(list_transform({cut}, lambda s: m[trim(regexp_replace({lower}, '[^a-z0-9]+', ' ', 'g'))]), "
-        "lambda n: n is not null)"
+    return f"list_transform({cut}, lambda s: trim(regexp_replace({lower}, '[^a-z0-9]+', ' ', 'g')))"
+
+
+def _sql_known(cut: str, broken: Mapping[tuple[str, ...], str], quoted) -> str:
+    """Names of pieces; where the pieces of a broken sentence follow each other, its name at the first."""
+    cases = "".join(
+        f"when x = {quoted(first)} " + "".join(f"and {cut}[i + {k}] = {quoted(piece)} " for k, piece in enumerate(rest, 1)) + f"then {quoted(whole)} "
+        for (first, *rest), whole in reversed(broken.items())
     )
+    return f"list_filter(list_transform({cut}, lambda x, i: case {cases}else m[x] end), lambda n: n is not null)"

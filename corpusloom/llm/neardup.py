@@ -53,7 +53,7 @@ DEPTH, STRIDE = 16, 8
 WINDOW, NEIGHBOURS = 64, 4
 # Values of the prefixes that a crowded node may belong to, pairs of different components per node of a prefix, and
 # nodes of its main component that are compared in one task.
-DEPTHS, CROSSING, BLOCK_ROWS = (4, 6, 8, 11, 16, 24, 36, 54), 256, 1024
+DEPTHS, CROSSING, BLOCK_ROWS = (4, 6, 8, 11, 16, 24, 36, 54), 512, 2048
 # Chance to miss a pair at the threshold at which a crowded node has had trees enough.
 MOST_MISSED = 1e-5
 # Hash functions of a fresh forest; four bits of each make its sketch.
@@ -272,9 +272,10 @@ def _fresh_signatures(words: int, turn: int):
 
 
 def _block_pairs(percent: int):
-    """All pairs (a, b, match) of different components that may be similar enough among rows (key, block, minor, node, component, n, sketch).
+    """All pairs (a, b, match) of different components that may be similar enough among rows (key, block, minor, node, component, n, keys, sketch).
 
-    Rows come sorted by (key, block), a group. Two minor rows are compared in block 0 only.
+    Rows come sorted by (key, block), a group. Two minor rows are compared in block 0 only. ``keys`` are all groups of a node, filled
+    up with 0; a pair is told in the first one that its nodes share.
     """
     names = ("key", "block", "minor", "node", "component", "n")
     least_match = _least_match(percent, _FRESH, 16)
@@ -300,8 +301,12 @@ def _block_pairs(percent: int):
             x, y = x[maybe], y[maybe]
             match = (bits[x] == bits[y]).sum(axis=1)
             enough = match >= least_match
-            if enough.any():
-                found.append((x[enough], y[enough], match[enough]))
+            x, y, match = x[enough], y[enough], match[enough]
+            if len(x):
+                mine = now["keys"][x][:, :, None]
+                shared = (mine == now["keys"][y][:, None, :]) & (mine != 0) & (mine < now["key"][x][:, None, None])
+                first = ~shared.any(axis=(1, 2))
+                found.append((x[first], y[first], match[first]))
                 held += len(found[-1][0])
             at = at[left[at] > step]
             if held >= HELD_PAIRS or (held and not len(at)):
@@ -317,7 +322,8 @@ def _block_pairs(percent: int):
             if not len(rows):
                 continue
             new = {k: rows.column(i).to_numpy(zero_copy_only=False) for i, k in enumerate(names)}
-            sketches = b"".join(rows.column(len(names)).to_pylist())
+            new["keys"] = rows.column(len(names)).flatten().to_numpy(zero_copy_only=False).reshape(len(rows), TREES)
+            sketches = b"".join(rows.column(len(names) + 1).to_pylist())
             new["sketch"] = np.frombuffer(sketches, dtype=np.uint8).reshape(len(rows), _FRESH // 2)
             now = new if tail is None else {k: np.concatenate([tail[k], v]) for k, v in new.items()}
             unlike = (now["key"][1:] != now["key"][:-1]) | (now["block"][1:] != now["block"][:-1])
@@ -452,8 +458,12 @@ def _fresh_forest(texts: DataFrame, pending: DataFrame, found: DataFrame, words:
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     places = F.when(minor, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(own))
     dealt = every.select("key", F.explode(places).alias("block"), minor.alias("minor"), "node", "mark", "component")
-    dealt = dealt.join(signed.select("node", "mark", "n", "sketch"), ["node", "mark"])
-    dealt = dealt.select("key", "block", "minor", "node", "component", "n", "sketch")
+    # All groups of a node in which every pair is compared, one of each tree at most.
+    groups = F.sort_array(F.collect_list(F.when(F.col("fits"), F.col("key"))))
+    groups = F.slice(F.concat(groups, F.array_repeat(F.lit(0).cast("long"), TREES)), 1, TREES)
+    own = every.groupBy("node", "mark").agg(groups.alias("keys"))
+    dealt = dealt.join(signed.select("node", "mark", "n", "sketch").join(own, ["node", "mark"]), ["node", "mark"])
+    dealt = dealt.select("key", "block", "minor", "node", "component", "n", "keys", "sketch")
     pairs, kind = _block_pairs(percent)
     compared = dealt.repartition("key", "block").sortWithinPartitions("key", "block").mapInArrow(pairs, kind)
     return write_through(compared.groupBy("a", "b").agg(F.max("match").alias("match")), "fresh-candidates"), met

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from check import connect, difference
-from corpusloom.llm.licences import RULES, SENTENCES, cue_words, licence_scan, normal_form
+from corpusloom.llm.licences import PUBLISHED, RULES, SENTENCES, cue_words, licence_scan, normal_form
 from corpusloom.llm.queries import SQL, op7_licences
 
 MIT = f"""MIT License
@@ -94,18 +94,34 @@ file, You can obtain one at https://mozilla.org/MPL/2.0/.
 """
 
 
+PUBLISHED_CASES = [
+    (MPL.format("2.0"), "MPL-2.0"), (MPL.format("1.1"), ""), (SENTENCES["mpl-2-notice"], "MPL-2.0"),
+    ("2.0. " + MPL.format("2.0") + "2.0. Released under the MIT License.", "MIT,MPL-2.0"),
+    (GRANT.format("Lesser"), "LGPL-3.0-or-later"), (GRANT.format("Affero"), "AGPL-3.0-or-later"),
+    (" ".join(GRANT.format("Lesser").replace("program", "library").split()), "LGPL-3.0-or-later"),
+    (SENTENCES["gpl-3-grant"] + ".", "GPL-3.0-or-later"),
+]
+
+
 def test_published_headers(spark):
-    cases = [
-        (MPL.format("2.0"), "MPL-2.0"), (MPL.format("1.1"), ""), (SENTENCES["mpl-2-notice"], "MPL-2.0"),
-        ("2.0. " + MPL.format("2.0") + "2.0. Released under the MIT License.", "MIT,MPL-2.0"),
-        (GRANT.format("Lesser"), "LGPL-3.0-or-later"), (GRANT.format("Affero"), "AGPL-3.0-or-later"),
-        (" ".join(GRANT.format("Lesser").replace("program", "library").split()), "LGPL-3.0-or-later"),
-        (SENTENCES["gpl-3-grant"] + ".", "GPL-3.0-or-later"),
-    ]
-    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "i int, text string")
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(PUBLISHED_CASES)], "i int, text string")
     found = df.select("i", licence_scan(F.col("text")).alias("s")).collect()
     got = {r["i"]: ",".join(r["s"]["licences"]) for r in found}
-    assert [got[i] for i in range(len(cases))] == [licences for _, licences in cases]
+    assert [got[i] for i in range(len(PUBLISHED_CASES))] == [licences for _, licences in PUBLISHED_CASES]
+
+
+def test_published_headers_equal_sql(spark, tmp_path):
+    import duckdb
+
+    texts = [t for t, _ in PUBLISHED_CASES] + list(SENTENCES.values()) + list(PUBLISHED.values())
+    texts += [f"{a}.\n{b}\n" for a, b in zip(texts, texts[1:])]
+    path = str(tmp_path / "documents.parquet")
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(path)
+    con = duckdb.connect()
+    con.sql(f"create view documents as select * from '{path}/*.parquet'")
+    query = op7_licences(spark, str(tmp_path))
+    assert difference(query, con.sql(SQL["op7_licences"])) is None
+    assert query.where("licences <> ''").count() > 40
 
 
 def test_no_rows(spark):

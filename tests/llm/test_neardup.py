@@ -109,7 +109,7 @@ def test_links_among_form_letters_are_found_whatever_the_window(spark, monkeypat
     check(spark, form_letters(80, 12))
 
 
-@pytest.mark.parametrize("crossing, block", [(40, 16), (1000, 16)])
+@pytest.mark.parametrize("crossing, block", [(20, 16), (1000, 16)])
 def test_deep_prefixes_and_blocks(spark, monkeypatch, crossing, block):
     monkeypatch.setattr(neardup, "CROSSING", crossing)
     monkeypatch.setattr(neardup, "BLOCK_ROWS", block)
