@@ -7,11 +7,14 @@ from corpusloom.catalog import standins as S
 from corpusloom.catalog.corpora import sql_round_robin
 from corpusloom.catalog.registry import query
 from corpusloom.operators import batching as B
+from corpusloom.operators.growing import append_positions, create_positions, read_positions
 from corpusloom.operators.interleave import interleave as round_robin
 from corpusloom.operators.metrics import every_n_steps as on_cadence
 from corpusloom.operators.ordinal import attach_ordinal, first_n, ordinal
 from corpusloom.plans.evaluate import EVAL_SAMPLES
 from corpusloom.plans.prepare import usable_rows
+from corpusloom.plans.resume import Stage, manifests, run_stages
+from corpusloom.session import fresh_path
 
 WITH = f"with {S.UTTERANCES_SQL}, placed as (select *, row_number() over (order by utterance_id) as pos from utterances) "
 
@@ -142,3 +145,42 @@ def collate_udf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return B.collate_udf(
         S.batched_turns(spark, sf_dir), measure, "batch_id bigint, n_rows bigint, n_ids bigint, max_len bigint"
     )
+
+
+@query(
+    "growing_ordinal",
+    "select lang, doc_id, row_number() over (order by coalesce(lang, ''), doc_id) as pos from documents",
+)
+def growing_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Positions of a table that came in four parts, of which the last lies within one range."""
+    rows = S.documents(spark, sf_dir).select(F.coalesce("lang", F.lit("")).alias("lang"), "doc_id")
+    part = F.when((F.col("lang") == "en") & F.col("doc_id").between(100, 200), 3).otherwise(F.col("doc_id") % 3)
+    path = fresh_path(spark, "growing")
+    create_positions(rows.where(part == 0), ["lang", "doc_id"], path)
+    for i in (1, 2, 3):
+        append_positions(rows.where(part == i), ["lang", "doc_id"], path)
+    return read_positions(spark, path, rows)
+
+
+def _run(spark: SparkSession, sf_dir: str, path: str, most: int) -> DataFrame:
+    """Usable texts of one parity, then a count by language."""
+    stages = [
+        Stage("short", lambda df, most: df.where(F.length("text") <= most), {"most": most}),
+        Stage("counted", lambda df: df.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.sum("n_chars").alias("n_chars"))),
+    ]
+    return run_stages(spark, f"{sf_dir}/documents.parquet", stages, path)
+
+
+@query(
+    "resumed_run",
+    """with c as (select lang, count(*) as n, cast(sum(n_chars) as bigint) as n_chars from documents where length(text) <= 3000 group by lang)
+    select lang, n, n_chars, 3 as n_stages from c""",
+)
+def resumed_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run that is repeated, and one of another parameter: two stages each, of which one more is run once."""
+    path = fresh_path(spark, "run")
+    for most in (3000, 3000):
+        counted = _run(spark, sf_dir, path, most)
+    more = run_stages(spark, f"{sf_dir}/documents.parquet", [Stage("short", lambda df, most: df.where(F.length("text") <= most), {"most": 100})], path)
+    more.isEmpty()
+    return counted.withColumn("n_stages", F.lit(manifests(spark, path).count()).cast("int"))

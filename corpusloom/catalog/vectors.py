@@ -12,6 +12,7 @@ from corpusloom.functions.sequences import pad_audio as pad
 from corpusloom.operators import embedding as E
 from corpusloom.operators import recordings as R
 from corpusloom.plans.collate import splice_batch as splice
+from corpusloom.session import fresh_path
 
 DIM = 64
 
@@ -111,6 +112,32 @@ def embedding_gather(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+BUCKETS = 8
+
+
+def bucketed_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "bucketed")
+    return E.store_bucketed(embedding_table(spark, sf_dir), f"embeddings_{path.rsplit('-', 1)[1]}", path, BUCKETS)
+
+
+@query(
+    "gather_bucketed",
+    f"""with {S.TURNS_SQL}, used as (select pos, unnest(ids) as id, generate_subscripts(ids, 1) as spot from turns),
+    found as (select pos, spot, embedding, row_number() over (partition by pos order by spot) as place from used join embeddings on vec_id = id)
+    select pos, count(*) as n, round(sum(place * cast(embedding[1] as double)), 4) as first_sum,
+      round(sum(place * cast(embedding[64] as double)), 4) as last_sum
+    from found group by pos""",
+)
+def gather_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors of turns from a table in buckets, which is not shuffled."""
+    gathered = E.gather_bucketed(S.turns(spark, sf_dir), ["pos"], "ids", bucketed_embeddings(spark, sf_dir), BUCKETS)
+    return gathered.select(
+        "pos", F.size("embeds").cast("bigint").alias("n"),
+        weighted_sum(F.transform("embeds", lambda v: F.get(v, 0))).alias("first_sum"),
+        weighted_sum(F.transform("embeds", lambda v: F.get(v, DIM - 1))).alias("last_sum"),
+    )
+
+
 SPLICE_MARKER = 7
 
 

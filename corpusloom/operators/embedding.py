@@ -41,6 +41,30 @@ def embedding_gather(
     return regroup(found, keys, "_at", "vector", out)
 
 
+def store_bucketed(embeddings: DataFrame, table: str, path: str, buckets: int) -> DataFrame:
+    """Write ``(id, vector)`` at ``path`` as ``table``, in buckets by id, so that joins by id need not shuffle it again.
+
+    A bucket is read by one task; give as many as the table has tasks' shares.
+    """
+    writer = embeddings.select("id", "vector").repartition(buckets, "id").write.bucketBy(buckets, "id").sortBy("id")
+    writer.mode("overwrite").option("path", path).saveAsTable(table)
+    return embeddings.sparkSession.table(table)
+
+
+def gather_bucketed(df: DataFrame, keys: Sequence[str], ids: str, bucketed: DataFrame, buckets: int, out: str = "embeds") -> DataFrame:
+    """``embedding_gather`` from a table of ``store_bucketed``, which stays where it is.
+
+    Each id goes to its bucket once per row, with all its places in it, so an id that is in every row moves as often as there are rows and no
+    oftener; vectors are shuffled once, to their rows. Ids without a vector are left out, as are rows without any id.
+    """
+    placed = df.select(*keys, F.posexplode(ids).alias("_at", "id")).where(F.col("id").isNotNull())
+    wanted = placed.groupBy(*keys, "id").agg(F.collect_list("_at").alias("_places"))
+    # The number of buckets is that of the shuffle, and the side in buckets needs none.
+    met = wanted.repartition(buckets, "id").join(bucketed.hint("merge"), "id")
+    pairs = met.select(*keys, F.explode("_places").alias("_at"), "vector")
+    return regroup(pairs, keys, "_at", "vector", out)
+
+
 def vector_mean(df: DataFrame, vector: str) -> DataFrame:
     """``(dim, mean)``: the mean of each dimension over all rows."""
     return (

@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.operators import lookup
-from corpusloom.operators.lookup import COUNTED_KEYS, frequent_keys, lookup_join, regroup, regroup_ids
+from corpusloom.operators.lookup import COUNTED_KEYS, frequent_keys, lookup_join
 from corpusloom.operators.ordinal import ordinal
+from corpusloom.operators.rowlookup import lookup_rows
 from corpusloom.session import write_through
 
 # The audio tokens and the padding token a vocabulary needs.
@@ -91,6 +92,14 @@ def _looked_up(
     return lookup_join(facts, entries, on, entries.join(F.broadcast(frequent), on, "left_semi"))
 
 
+def _row_head(df: DataFrame, values: str, entries: DataFrame, on: str, token: str, ranked: bool, used: Sequence[str] = ()) -> DataFrame:
+    """The head that ranks give, or the entries of the keys that are counted to be frequent."""
+    if ranked:
+        return _head(entries, token, used)
+    frequent = frequent_keys(df.select(F.explode_outer(values).alias(on)), on, COUNTED_KEYS)
+    return entries.join(F.broadcast(write_through(frequent, "used")), on, "left_semi")
+
+
 def encode_ids(
     df: DataFrame,
     keys: Sequence[str],
@@ -107,12 +116,12 @@ def encode_ids(
     most of a text and are looked up without a shuffle; ``used`` names words that are frequent
     here whatever their rank, such as those of a prompt. Else the frequent words are counted first.
     """
-    exploded = df.select(*keys, F.posexplode_outer(words).alias("_at", "token"))
     entries = vocab.select("token", "id")
-    found = _looked_up(exploded, entries, "token", "token", ranked, used)
+    head = _row_head(df, words, entries, "token", "token", ranked, used)
+    found = lookup_rows(df, keys, words, entries, "token", "id", head, out)
     if unk_id is not None:
-        found = found.withColumn("id", F.when(F.col("_at").isNotNull(), F.coalesce("id", F.lit(unk_id).cast("bigint"))))
-    return regroup_ids(found, keys, "_at", "id", out)
+        found = found.withColumn(out, F.transform(out, lambda x: F.coalesce(x, F.lit(unk_id).cast("bigint"))))
+    return found
 
 
 def decode_ids(
@@ -129,12 +138,11 @@ def decode_ids(
 
     An unknown id leaves none either, or ``unk_token``. ``ranked`` is as for ``encode_ids``.
     """
-    exploded = df.select(*keys, F.posexplode_outer(ids).alias("_at", "id"))
     entries = vocab.select("id", "token")
-    found = _looked_up(exploded, entries, "id", "token", ranked, skip)
+    head = _row_head(df, ids, entries, "id", "token", ranked, skip)
+    found = lookup_rows(df, keys, ids, entries, "id", "token", head, out)
     if unk_token is not None:
-        found = found.withColumn("token", F.when(F.col("_at").isNotNull(), F.coalesce("token", F.lit(unk_token))))
+        found = found.withColumn(out, F.transform(out, lambda x: F.coalesce(x, F.lit(unk_token))))
     if skip:
-        found = found.withColumn("token", F.when(~F.col("token").isin(*skip), F.col("token")))
-    grouped = regroup(found, keys, "_at", "token", out)
-    return grouped.withColumn(out, F.array_join(out, " "))
+        found = found.withColumn(out, F.filter(out, lambda x: ~x.isin(*skip)))
+    return found.withColumn(out, F.array_join(out, " "))
