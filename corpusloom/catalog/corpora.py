@@ -8,7 +8,10 @@ from corpusloom.catalog.registry import query
 from corpusloom.operators.interleave import union_sources as union
 from corpusloom.plans.prepare import load_corpora, load_corpus, usable_rows
 from corpusloom.operators.batching import assign_batches
+from corpusloom.session import fresh_path
 from corpusloom.sources.corpora import SourceSpec, open_sources
+from corpusloom.sources.corpus_format import read_corpus, register_corpus_source
+from corpusloom.streaming.streams import append_stream
 
 WITH = f"with {S.UTTERANCES_SQL} "
 
@@ -47,6 +50,38 @@ def src_multi_config(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union(open_sources([MULTI], tables(spark, sf_dir))).select("k", "utterance_id", "text")
 
 
+def stored_corpus(spark: SparkSession, sf_dir: str) -> str:
+    """The multi-config corpus as files of its own."""
+    register_corpus_source(spark)
+    path = fresh_path(spark, "corpus")
+    rows = tables(spark, sf_dir)["librispeech_asr"].select("utterance_id", "config", "split", "text")
+    rows.write.parquet(path)
+    return path
+
+
+@query("src_corpus_format", WITH + f", {_MULTI_SQL} select cast(k as int) as k, utterance_id, text from multi")
+def src_corpus_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows through the corpus format, which reads one config and split at a time."""
+    path = stored_corpus(spark, sf_dir)
+    parts = [read_corpus(spark, path, config=config, split=split) for config, split in zip(MULTI.configs, MULTI.splits(False))]
+    return union(parts).select("k", "utterance_id", "text")
+
+
+@query(
+    "stream_corpus_format",
+    WITH + "select utterance_id, source as config, split, text from utterances where source = 'en' or utterance_id < 100",
+)
+def stream_corpus_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus as a stream of what is available now, in two runs of one query."""
+    path, out, checkpoint = stored_corpus(spark, sf_dir), fresh_path(spark, "streamed"), fresh_path(spark, "checkpoint")
+    kind = spark.read.parquet(path).schema
+    for _ in range(2):
+        stream = spark.readStream.format("corpus").schema(kind).option("path", path).load()
+        chosen = stream.where("config = 'en' or utterance_id < 100")
+        append_stream(chosen, out, checkpoint).awaitTermination()
+    return spark.read.schema(kind).parquet(out)
+
+
 @query(
     "src_subset",
     WITH + f"""select utterance_id, {S.sql_clean('text')} as text from utterances
