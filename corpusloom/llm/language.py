@@ -9,13 +9,12 @@ text, so a batch costs a few numpy calls, however many texts it has.
 
 from __future__ import annotations
 
-import re
-import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,9 +31,7 @@ MOST_LANGUAGES = 1000
 EVIDENCE = 100.0
 # Code points that are scored at a time.
 BLOCK_CHARS = 1 << 18
-# Numbers that are word characters and no decimal digits, by their rule.
-_NUMBERS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
-_REST = re.compile(rf"[\W\d_{_NUMBERS}]+")
+_REST = regex.compile(r"\P{L}+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
