@@ -1,5 +1,7 @@
 """Held-out accuracy, blocks that do not matter, and odd rows."""
 
+import unicodedata
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -53,7 +55,9 @@ def test_nothing_to_learn_from(spark):
 def test_letters():
     assert letters("Ab1c--É_f  ") == "ab c é f" and letters(None) == ""
     assert letters("²3 ½ Ⅷ ٣ ① _") == "" and letters("x² Ⅷb") == "x b"
-    assert all(letters(c) == "" or any(x.isalpha() for x in c.lower()) for c in map(chr, range(0x3000)))
+    # Of the characters that both Unicode versions have.
+    known = [c for c in map(chr, range(0x3000)) if unicodedata.category(c) != "Cn"]
+    assert all((letters(c) == "") == (not any(x.isalpha() for x in c.lower())) for c in known)
 
 
 def test_held_out_accuracy(spark, small):
