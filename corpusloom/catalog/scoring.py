@@ -9,6 +9,7 @@ from corpusloom.functions.words import format_wer as percent
 from corpusloom.functions.words import word_list
 from corpusloom.operators import scoring as W
 from corpusloom.operators.pairing import zip_by_position
+from corpusloom.operators.rows import spread_rows
 
 WITH = f"with recursive {S.EDITS_SQL} "
 
@@ -100,7 +101,8 @@ def wer_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("wer_documents")
 def wer_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole documents, thousands of words long, by language. Too slow for the SQL table method."""
-    pairs = S.documents(spark, sf_dir).select(
+    rows = spread_rows(S.documents(spark, sf_dir).select("doc_id", "lang", "text"), "doc_id")
+    pairs = rows.select(
         "lang",
         F.col("text").alias("reference"),
         F.array_join(S.predicted_words(F.col("text")), " ").alias("prediction"),

@@ -15,6 +15,16 @@ def filter_map(df: DataFrame, column: str, value: Column) -> DataFrame:
     return df.withColumn(column, F.explode(F.array_compact(F.array(value))))
 
 
+def spread_rows(df: DataFrame, key: str) -> DataFrame:
+    """Rows dealt out by the hash of a key, ahead of work that costs far more than moving them.
+
+    A task reads whole row groups, so a table of few large ones gives few tasks, whatever its rows cost afterwards. Give only
+    the columns that work needs, before they are made larger. The number of parts is that of shuffle partitions and is kept.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(parts, F.xxhash64(key))
+
+
 def tolerant_rows(df: DataFrame, **checks: Column) -> tuple[DataFrame, DataFrame]:
     """Rows that pass all checks, and a count of the others by the first check they fail.
 
