@@ -11,8 +11,9 @@ from corpusloom.streaming import streams
 
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table as a stream, be it one file or a folder of files; as a pattern, the path may name either."""
     schema = S.read_table(spark, sf_dir, name).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parque[t]")
 
 
 @query(
@@ -62,7 +63,7 @@ def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     {sql_round_robin('sources', 'doc_id')} select pos, k, doc_id, text from merged""",
 )
 def stream_interleave(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The table is one file and so one micro-batch; the order of arrival is that of the ids."""
+    """All files of the table are one micro-batch, as no most files of a batch are set; the order of arrival is that of the ids."""
     arriving = table_stream(spark, sf_dir, "documents").select("lang", "doc_id", "text")
     path = fresh_path(spark, "interleaved")
     streams.stream_interleave(
