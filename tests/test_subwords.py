@@ -97,3 +97,18 @@ def test_round_trip_and_ids(spark):
 def test_fewer_merges_are_a_prefix(spark, n):
     counts = {"banana": 3, "bandana": 2, "ban": 5}
     assert B.train_merges(frame(spark, counts), n) == plain_trainer(counts, 9)[:n]
+
+
+def test_cutting_goes_piece_by_piece(monkeypatch):
+    """A batch is cut in pieces of few words, so a task never holds the subwords of all of its rows."""
+    import pyarrow as pa
+
+    from corpusloom.operators import rows
+
+    column = pa.array([["ab"] * 5, None, [], ["c", None, ""], ["ab"] * 30, ["d"]])
+    assert list(rows.pieces(column, 8)) == [(0, 4), (4, 5), (5, 6)]
+    monkeypatch.setattr(B, "WORDS_AT_ONCE", 8)
+    cutter = B._cutter([("▁a", "b", 2)])
+    made = list(cutter.func(iter([column])))
+    assert [len(part) for part in made] == [4, 1, 1]
+    assert sum((part.to_pylist() for part in made), []) == [["▁ab"] * 5, None, [], ["▁c"], ["▁ab"] * 30, ["▁d"]]
