@@ -6,11 +6,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom.functions.binding import let
+from corpusloom.operators.rows import pieces
 
 # The analysis window of the feature extractor.
 SAMPLE_RATE = 16000
@@ -21,6 +24,8 @@ MAX_SAMPLES = 480000
 
 # Frames of one recording that are transformed together, which bounds memory for a long one.
 FRAMES_AT_ONCE = 4096
+# Samples of several recordings that a task resamples at once.
+SAMPLES_AT_ONCE = 1 << 20
 
 
 def duration_seconds(samples: Column, rate: Column | int) -> Column:
@@ -56,23 +61,35 @@ def resample(samples: Column, rate_in: Column | int, rate_out: int) -> Column:
     return let(samples, resampled)
 
 
-def resample_long(samples: Column, rate_in: Column | int, rate_out: int) -> Column:
-    """``resample`` for arrays of real audio length, computed on Arrow batches."""
+def _resampler(rate_out: int):
+    most = SAMPLES_AT_ONCE
 
-    def convert(arrays: pd.Series, rates: pd.Series) -> pd.Series:
+    def resampled(rows: pa.Array, rates: list) -> pa.Array:
+        offsets = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(rows), 0).to_numpy(zero_copy_only=False), dtype=np.int64)])
+        waves = pc.list_flatten(rows).cast(pa.float64()).to_numpy(zero_copy_only=False)
         converted = []
-        for array, rate in zip(arrays, rates):
-            if array is None:
-                converted.append(None)
-                continue
-            length = -(-len(array) * rate_out // int(rate))
-            places = np.arange(length) * int(rate) / rate_out
-            wave = np.asarray(array, dtype=np.float64)
+        for low, high, rate in zip(offsets, offsets[1:], rates):
+            wave = waves[low:high]
+            length = -(-len(wave) * rate_out // int(rate)) if len(wave) else 0
+            places = np.arange(length) * int(rate) / rate_out if length else ()
             converted.append(np.interp(places, np.arange(len(wave)), wave) if length else wave)
-        return pd.Series(converted, dtype=object)
+        ends = np.concatenate([[0], np.cumsum([len(c) for c in converted], dtype=np.int64)])
+        values = pa.array(np.concatenate(converted), from_pandas=True)
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values, mask=rows.is_null())
+
+    @F.arrow_udf("array<double>")
+    def convert(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for arrays, rates in batches:
+            for low, high in pieces(arrays, most):
+                yield resampled(arrays.slice(low, high - low), rates.slice(low, high - low).to_pylist())
+
+    return convert
 
+
+def resample_long(samples: Column, rate_in: Column | int, rate_out: int) -> Column:
+    """``resample`` for arrays of real audio length, computed on Arrow batches, piece by piece."""
     rate = (F.lit(rate_in) if isinstance(rate_in, int) else rate_in).cast("bigint")
-    return F.pandas_udf(convert, "array<double>")(samples, rate)
+    return _resampler(rate_out)(samples, rate)
 
 
 def cast_audio(audio: Column, rate: int, arrow: bool = True) -> Column:

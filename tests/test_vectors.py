@@ -139,3 +139,15 @@ def test_log_mel(spark):
     assert len(whole) == 20
     matrix = df.orderBy("id").select(A.mel_features(F.col("a"), 4800).alias("m")).first()["m"]
     assert np.array_equal(np.array(matrix, dtype=np.float32).T, tone.astype(np.float32))
+
+
+def test_resampling_goes_piece_by_piece(monkeypatch):
+    """A batch is resampled in pieces of few samples, so a task never holds those of all of its rows."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(A, "SAMPLES_AT_ONCE", 6)
+    waves = pa.array([[0.0, 1.0, 2.0], None, [], [3.0, 5.0, 7.0], [0.0, 1.0, None], [4.0]], pa.list_(pa.float32()))
+    made = list(A._resampler(2).func(iter([(waves, pa.array([3] * 6))])))
+    assert [len(part) for part in made] == [4, 2]
+    got = sum((part.to_pylist() for part in made), [])
+    assert got == [[0.0, 1.5], None, [], [3.0, 6.0], [0.0, None], [4.0]]
