@@ -17,15 +17,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-# Bytes of row groups that one task reads, unless a single one has more.
+# Bytes of row groups that one task reads, unless a single one has more, and bytes of rows that it decodes at once.
 PARTITION_BYTES = 128 * 1024 * 1024
+BATCH_BYTES = 8 * 1024 * 1024
 
 
 def corpus_source() -> type:
     """The class of the source. It is made in a function, so that it travels to tasks as a whole; executors need no copy of this package."""
     from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
-    default_bytes = PARTITION_BYTES
+    default_bytes, batch_bytes = PARTITION_BYTES, BATCH_BYTES
 
     class RowGroups(InputPartition):
         def __init__(self, path: str, groups: list[int]) -> None:
@@ -83,18 +84,26 @@ def corpus_source() -> type:
             return found
 
         def read(self, partition: RowGroups):
-            import pyarrow.dataset as ds
+            import pyarrow as pa
+            import pyarrow.parquet as pq
             from pyspark.sql.pandas.types import to_arrow_schema
 
             if partition is None:
                 return
             system, inside = opened(partition.path)
-            (fragment,) = ds.dataset(inside, filesystem=system, format="parquet").get_fragments()
-            kind = to_arrow_schema(self.kind)
-            chosen = fragment.subset(row_group_ids=partition.groups)
-            for batch in chosen.to_batches(columns=kind.names, filter=expression(self.where)):
-                if batch.num_rows:
-                    yield batch.cast(kind)
+            kind, chosen = to_arrow_schema(self.kind), expression(self.where)
+            columns = list(dict.fromkeys([*kind.names, *self.where]))
+            # Pages are read as they are needed, so a task holds a batch of rows and no row group.
+            with pq.ParquetFile(system.open_input_file(inside), buffer_size=1 << 20, pre_buffer=False) as file:
+                for group in partition.groups:
+                    told = file.metadata.row_group(group)
+                    rows = max(1, batch_bytes * told.num_rows // max(1, told.total_byte_size))
+                    for batch in file.iter_batches(min(rows, 65536), row_groups=[group], columns=columns, use_threads=False):
+                        if chosen is not None:
+                            batch = pa.Table.from_batches([batch]).filter(chosen)
+                        for part in batch.select(kind.names).cast(kind).to_batches() if chosen is not None else [batch.select(kind.names).cast(kind)]:
+                            if part.num_rows:
+                                yield part
 
     class BatchReader(Reader, DataSourceReader):
         def __init__(self, kind, path: str, most: int, where: dict) -> None:

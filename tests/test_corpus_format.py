@@ -72,3 +72,18 @@ def test_a_path_is_needed(spark):
     register_corpus_source(spark)
     with pytest.raises(Exception, match="path"):
         spark.read.format("corpus").load().collect()
+
+
+def test_a_row_group_is_read_in_small_batches(spark, tmp_path, monkeypatch):
+    """A task holds some rows of a row group, never all of them."""
+    from corpusloom.sources import corpus_format
+
+    path = str(tmp_path / "one")
+    spark.range(4000).selectExpr("id", "'en' as config", "repeat(id, 20) as text").coalesce(1).write.parquet(path)
+    monkeypatch.setattr(corpus_format, "BATCH_BYTES", 10_000, raising=False)
+    source = corpus_format.corpus_source()
+    for where, wanted in (("{}", 4000), ('{"id": [7, 8]}', 2), ('{"config": ["en"]}', 4000)):
+        one = source({"path": path, "where": where})
+        reader = one.reader(spark.read.parquet(path).select("text").schema)
+        sizes = [b.num_rows for p in reader.partitions() for b in reader.read(p)]
+        assert sum(sizes) == wanted and max(sizes) < 1000
