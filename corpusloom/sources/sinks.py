@@ -23,6 +23,9 @@ TEXT_SCHEMA = T.StructType(
     ]
 )
 
+# Folders over which runs are spread by hash, however many there are.
+RUN_FOLDERS = 16
+
 # The tags under which evaluation results are kept.
 WER_TAG = "eval/wer"
 PREDICTIONS_TAG = "eval/predictions"
@@ -35,10 +38,15 @@ def run_path(started: Column, root: str = "outputs", job: Column | None = None)
 
 
 def _write(df: DataFrame, schema: T.StructType, path: str, part: str | None) -> None:
+    if part in ("", "-"):
+        raise ValueError("a part has a name, and - stands for appended rows")
     fields = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]
+    # Appended rows go into a fixed number of folders. A part has one for each of its runs, as it replaces what these held.
+    folder = F.col("run_id") if part else F.pmod(F.xxhash64("run_id"), F.lit(RUN_FOLDERS)).cast("string")
+    placed = df.select(*fields).withColumn("part", F.lit(part or "-")).withColumn("folder", folder)
     # By range, so that small runs share a file and a large run gets several.
-    placed = df.select(*fields, F.lit(part or "-").alias("part")).repartitionByRange("run_id", "tag", "step")
-    writer = placed.write.partitionBy("part", "run_id")
+    order = ["folder", "run_id", "tag", "step"]
+    writer = placed.repartitionByRange(*order).sortWithinPartitions("part", *order).write.partitionBy("part", "folder")
     if part is None:
         writer.mode("append").parquet(path)
     else:
@@ -56,12 +64,12 @@ def write_texts(df: DataFrame, path: str, part: str | None = None) -> None:
 
 
 def _stored(schema: T.StructType) -> T.StructType:
-    return T.StructType([*schema.fields, T.StructField("part", T.StringType())])
+    return T.StructType([*schema.fields, T.StructField("part", T.StringType()), T.StructField("folder", T.StringType())])
 
 
 def read_scalars(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(_stored(SCALAR_SCHEMA)).parquet(path).drop("part")
+    return spark.read.schema(_stored(SCALAR_SCHEMA)).parquet(path).drop("part", "folder")
 
 
 def read_texts(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(_stored(TEXT_SCHEMA)).parquet(path).drop("part")
+    return spark.read.schema(_stored(TEXT_SCHEMA)).parquet(path).drop("part", "folder")

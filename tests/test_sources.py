@@ -118,3 +118,17 @@ def test_rejected_rows_are_counted(spark):
     rows = [("a", None, 1), ("", "", 1), (None, None, 1), ("b", None, 99), ("<SIL>", None, None)]
     df = spark.createDataFrame(rows, "text string, sentence string, n int")
     assert dict(rejected_rows(df, F.col("n"), 1, 10.0).collect()) == {"text": 2, "duration": 2}
+
+
+def test_folders_do_not_grow_with_the_runs(spark, tmp_path):
+    path = str(tmp_path / "scalars")
+    rows = [(f"run{i % 60}", "loss", i, i / 2) for i in range(180)] + [(None, "loss", 1, 0.5)]
+    table = spark.createDataFrame(rows, "run_id string, tag string, step bigint, value double")
+    sinks.write_scalars(table, path)
+    assert len(list((tmp_path / "scalars" / "part=-").iterdir())) <= sinks.RUN_FOLDERS
+    again = table.where("run_id = 'run7'").withColumn("value", F.lit(9.0))
+    for _ in range(2):
+        sinks.write_scalars(again, path, part="more")
+    wanted = sorted(map(str, rows + [("run7", "loss", i, 9.0) for i in (7, 67, 127)]))
+    got = sinks.read_scalars(spark, path).select("run_id", "tag", "step", "value").collect()
+    assert sorted(str(tuple(r)) for r in got) == wanted
