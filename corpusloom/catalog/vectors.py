@@ -194,6 +194,14 @@ def sounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return texts.select("doc_id", S.text_samples(F.col("text")).alias("a"))
 
 
+def long_sounds(spark: SparkSession, sf_dir: str, longer: int = -1) -> DataFrame:
+    """``sounds`` of more than so many samples, computed on Arrow batches."""
+    texts = spread_rows(S.documents(spark, sf_dir).select("doc_id", "text"), "doc_id")
+    if longer >= 0:
+        texts = texts.where(F.char_length("text") > longer)
+    return texts.select("doc_id", S.text_samples_long(F.col("text")).alias("a"))
+
+
 @query(
     "pad_audio",
     f"""with {SAMPLES_SQL} select doc_id, 2000 as n, least(len(a), 2000) as n_set,
@@ -274,7 +282,7 @@ CHUNK = 1000
 
 
 def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return R.chunk_recordings(sounds(spark, sf_dir), "doc_id", "a", CHUNK)
+    return R.chunk_recordings(long_sounds(spark, sf_dir), "doc_id", "a", CHUNK)
 
 
 @query(
@@ -307,7 +315,7 @@ def fit_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("log_mel_chunks")
 def log_mel_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Equal to ``log_mel`` for texts long enough not to be mirrored more than once."""
-    long = sounds(spark, sf_dir).where(F.size("a") > A.FRAME_SAMPLES // 2)
+    long = long_sounds(spark, sf_dir, A.FRAME_SAMPLES // 2)
     frames = R.log_mel_chunks(R.chunk_recordings(long, "doc_id", "a", CHUNK), "doc_id", CHUNK)
     return frames.select("doc_id", "frame", F.round(F.aggregate("mel", F.lit(0.0), lambda acc, x: acc + x), 3).alias("total"))
 

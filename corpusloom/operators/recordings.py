@@ -14,16 +14,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom.functions import audio as A
-from corpusloom.functions.binding import let
+from corpusloom.operators.rows import pieces
 from corpusloom.session import write_through
 
 # Samples of a chunk: half a minute at 16 kHz.
 CHUNK_SAMPLES = 480_000
+# Samples that a task works on at once, unless one chunk has more.
+SAMPLES_AT_ONCE = 1 << 20
 
 
 def chunk_recordings(df: DataFrame, key: str, samples: str, size: int = CHUNK_SAMPLES) -> DataFrame:
@@ -88,24 +91,43 @@ def frame_energies(chunks: DataFrame, key: str, size: int = CHUNK_SAMPLES, frame
     """``(key, frame, energy)``: root mean squares as of whole recordings, each frame from the chunk in which it begins."""
     if frame - 1 > size:
         raise ValueError("a frame is longer than a chunk")
-    start = F.col("chunk") * size
-    first = F.ceil(start / F.lit(hop)).cast("long")
-    last = F.floor((start + F.size("samples") - 1) / F.lit(hop)).cast("long")
+    kind = T.StructType([chunks.schema[key], T.StructField("frame", T.LongType()), T.StructField("energy", T.DoubleType())])
+    most, at_once = SAMPLES_AT_ONCE, A.FRAMES_AT_ONCE
+
+    def energies(start: np.ndarray, own: np.ndarray, waves: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+        """Rows, frames and energies of chunks with what follows them."""
+        ends = np.concatenate([[0], np.cumsum(pc.list_value_length(waves).to_numpy(zero_copy_only=False), dtype=np.int64)])
+        flat = pc.list_flatten(waves)
+        values, gaps = flat.cast(pa.float64()).to_numpy(zero_copy_only=False), flat.is_null().to_numpy(zero_copy_only=False)
+        first = -(-start // hop)
+        # A chunk shorter than a hop may have no frame of its own.
+        count = np.maximum(0, (start + own - 1) // hop - first + 1)
+        row = np.repeat(np.arange(len(count)), count)
+        frames = first[row] + np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+        begin = ends[row] + frames * hop - start[row]
+        end = np.minimum(begin + frame, ends[row + 1])
+        found, missing = np.empty(len(row)), np.zeros(len(row), dtype=bool)
+        for low in range(0, len(row), at_once):
+            part = slice(low, low + at_once)
+            places = begin[part] + np.arange(frame)[:, None]
+            inside = places < end[part]
+            places = np.minimum(places, len(values) - 1)
+            wave = np.where(inside, values[places], 0.0)
+            found[part] = np.sqrt((wave * wave).sum(axis=0) / (end - begin)[part])
+            if flat.null_count:
+                missing[part] = (gaps[places] & inside).any(axis=0)
+        return row, frames, pa.array(found, mask=missing)
 
-    def energies(wave: Column) -> Column:
-        def rms(part: Column) -> Column:
-            total = F.aggregate(part, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double"))
-            return F.sqrt(total / F.size(part))
-
-        def one(i: Column) -> Column:
-            return F.struct(i.alias("frame"), let(F.slice(wave, (i * hop - start + 1).cast("int"), F.lit(frame)), rms).alias("energy"))
-
-        return F.transform(F.sequence(first, last), one)
+    def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low, high in pieces(batch.column(3), most):
+                part = batch.slice(low, high - low)
+                start, own = (part.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in (1, 2))
+                row, frames, found = energies(start * size, own, part.column(3))
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(row)), pa.array(frames), found], names=[key, "frame", "energy"])
 
     rows = with_halo(chunks, key, 0, frame - 1)
-    # A chunk shorter than a hop may have no frame of its own.
-    found = F.when(first <= last, let(F.concat("samples", "after"), energies))
-    return rows.select(key, F.explode(found).alias("_f")).select(key, "_f.*")
+    return rows.select(key, "chunk", F.size("samples"), F.concat("samples", "after")).mapInArrow(convert, kind)
 
 
 def _local(batch: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -208,16 +230,18 @@ def resample_chunks(chunks: DataFrame, key: str, rate_in: int, rate_out: int, si
     filter_ = SincFilter(rate_in, rate_out, **options)
     if filter_.half > size:
         raise ValueError("the filter is longer than a chunk")
+    most = SAMPLES_AT_ONCE
     schema = T.StructType([chunks.schema[key], T.StructField("chunk", T.LongType()), T.StructField("start", T.LongType()), T.StructField("samples", T.ArrayType(T.DoubleType()))])
 
     def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(len(batch)):
-                chunk = batch.column(1)[i].as_py()
-                made = filter_.apply(*_local(batch, i), chunk * size)
-                lists = pa.ListArray.from_arrays(pa.array([0, len(made)], pa.int32()), pa.array(made))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(i, 1), pa.array([chunk]), pa.array([filter_.outputs(chunk * size, 0)[0]]), lists], names=schema.names
-                )
+            for low, high in pieces(batch.column(3), most):
+                part = batch.slice(low, high - low)
+                starts = [c * size for c in part.column(1).to_pylist()]
+                made = [filter_.apply(*_local(part, i), start) for i, start in enumerate(starts)]
+                ends = np.concatenate([[0], np.cumsum([len(m) for m in made], dtype=np.int64)])
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(made)))
+                first = pa.array([filter_.outputs(start, 0)[0] for start in starts], pa.int64())
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), first, lists], names=schema.names)
 
     return with_halo(chunks, key, filter_.half, filter_.half).mapInArrow(convert, schema)

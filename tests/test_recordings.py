@@ -112,3 +112,21 @@ def test_halos_have_limits(spark, waves):
     for call in (lambda: R.frame_energies(chunks, "id", 100), lambda: R.log_mel_chunks(chunks, "id", 100), lambda: R.resample_chunks(chunks, "id", 100, 1, size=100)):
         with pytest.raises(ValueError):
             call()
+
+
+def test_energies_of_chunks_with_gaps_are_made_in_batches(spark):
+    """Equal to the row function, missing samples included, with no expression for each sample."""
+    rows = [(i, [None if i == 3 and j == 500 else (j * 37 % 101) / 7 for j in range(n)]) for i, n in enumerate((1, 399, 1000, 1601, 2050))]
+    waves = spark.createDataFrame(rows, "id bigint, samples array<float>")
+    made = R.frame_energies(R.chunk_recordings(waves, "id", "samples", 500), "id", 500)
+    assert "MapInArrow" in made._jdf.queryExecution().toString()
+    wanted = waves.select("id", F.posexplode(A.frame_energy(F.col("samples"))).alias("frame", "energy"))
+    assert sorted(map(str, map(tuple, made.collect()))) == sorted(map(str, map(tuple, wanted.collect())))
+
+
+def test_samples_of_texts_in_batches(spark):
+    from corpusloom.catalog import standins as S
+
+    texts = spark.createDataFrame([(t,) for t in ("", "abc", None, "é→😀", "a\x00b", "x" * 3000)], "text string")
+    rows = texts.select(S.text_samples_long(F.col("text")).alias("l"), S.text_samples(F.col("text")).alias("s")).collect()
+    assert all(r["l"] == r["s"] for r in rows) and len(rows) == 6
