@@ -483,16 +483,19 @@ def _link_nodes(texts: DataFrame, nodes: DataFrame, words: int, percent: int) ->
     links = _linked(texts, best, words, percent)
     found = connected_components(links, "a", "b")
 
-    def confirm(rest: DataFrame) -> None:
-        """Link what is in different components and similar enough."""
+    def confirm(rest: DataFrame, tried: DataFrame | None = None) -> None:
+        """Link what is in different components, similar enough and not among the pairs ``tried``."""
         nonlocal links, found
         rest = write_through(_apart(rest, found), "apart")
+        # Most pairs of a crowded region are linked by now, so few are left to be looked up among those tried.
+        if tried is not None:
+            rest = write_through(rest.join(tried, ["a", "b"], "left_anti"), "rest")
         new = _linked(texts, rest, words, percent)
         if not new.isEmpty():
             links = write_through(links.unionByName(new), "all-links")
             found = connected_components(links, "a", "b")
 
-    confirm(pairs.join(best, ["a", "b"], "left_anti"))
+    confirm(pairs, best)
     tried = pairs.select("a", "b")
     crowded = write_through(seen.where("b is null").select(F.col("a").alias("node")).distinct(), "crowded")
     met = crowded.withColumn("met", F.lit(0.0))
@@ -503,7 +506,7 @@ def _link_nodes(texts: DataFrame, nodes: DataFrame, words: int, percent: int) ->
         pairs = write_through(pairs.join(tried, ["a", "b"], "left_anti"), "untried")
         best = _best(pairs)
         confirm(best)
-        confirm(pairs.join(best, ["a", "b"], "left_anti"))
+        confirm(pairs, best)
         tried = tried.unionByName(pairs.select("a", "b"))
         met = write_through(met.unionByName(more).groupBy("node").agg(F.sum("met").alias("met")), "met")
         crowded = write_through(met.where(F.col("met") < -math.log(MOST_MISSED)).select("node"), "crowded")

@@ -128,6 +128,27 @@ def test_texts_of_one_id_in_a_crowded_group(spark, monkeypatch):
     check(spark, [*rows, *((i, text) for (i, _), (_, text) in zip(rows[:6], rows[10:]))])
 
 
+def test_pairs_that_are_linked_by_now_are_not_looked_up_among_tried_ones(spark, monkeypatch):
+    frame, counts = type(spark.range(0)), {"asked": 0, "candidates": 0}
+    join, write = frame.join, neardup.write_through
+
+    def counted_join(self, other, on=None, how=None):
+        counts["asked"] += self.count() if how == "left_anti" else 0
+        return join(self, other, on, how)
+
+    def counted_write(df, name):
+        out = write(df, name)
+        counts["candidates"] += out.where("b is not null").count() if name.endswith("candidates") else 0
+        return out
+
+    monkeypatch.setattr(frame, "join", counted_join)
+    monkeypatch.setattr(neardup, "write_through", counted_write)
+    pick = random.Random(5)
+    words = [f"w{pick.randrange(5000)}" for _ in range(400)]
+    check(spark, [(i, changed(pick, words, 1)) for i in range(150)])
+    assert counts["candidates"] > 300 > counts["asked"]
+
+
 def test_default_is_five_words_and_four_fifths(spark):
     pick = random.Random(9)
     base = ["w%d" % i for i in range(200)]
