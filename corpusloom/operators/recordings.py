@@ -27,6 +27,8 @@ from corpusloom.session import write_through
 CHUNK_SAMPLES = 480_000
 # Samples that a task works on at once, unless one chunk has more.
 SAMPLES_AT_ONCE = 1 << 20
+# Recordings of which some values are cut off, that are broadcast.
+MOST_CUTS = 1_000_000
 
 
 def chunk_recordings(df: DataFrame, key: str, samples: str, size: int = CHUNK_SAMPLES) -> DataFrame:
@@ -50,17 +52,17 @@ def recording_lengths(chunks: DataFrame, key: str) -> DataFrame:
 def with_halo(chunks: DataFrame, key: str, before: int, after: int) -> DataFrame:
     """``(key, chunk, before, samples, after)``: with so many samples of the neighbours, fewer only at either end of a recording.
 
-    Each chunk hands its border to its two neighbours, so rows meet in groups of three at most. A halo is
-    no longer than a chunk.
+    Each chunk hands its border to its two neighbours, so rows meet in groups of three at most. Only borders that are asked for are sent,
+    and none ahead of the first chunk. A halo is no longer than a chunk.
     """
     kept = F.array().cast(chunks.schema["samples"].dataType)
     size = F.size("samples")
-    sent = [
-        F.struct(F.col("chunk").alias("to"), F.lit(0).alias("role"), F.col("samples").alias("part")),
-        F.struct((F.col("chunk") + 1).alias("to"), F.lit(1).alias("role"), F.slice("samples", F.greatest(size - before + 1, F.lit(1)), F.lit(before)).alias("part")),
-        F.struct((F.col("chunk") - 1).alias("to"), F.lit(2).alias("role"), F.slice("samples", F.lit(1), F.lit(after)).alias("part")),
-    ]
-    met = chunks.select(key, F.inline(F.array(*sent))).groupBy(key, "to")
+    sent = [F.struct(F.col("chunk").alias("to"), F.lit(0).alias("role"), F.col("samples").alias("part"))]
+    if before:
+        sent.append(F.struct((F.col("chunk") + 1).alias("to"), F.lit(1).alias("role"), F.slice("samples", F.greatest(size - before + 1, F.lit(1)), F.lit(before)).alias("part")))
+    if after:
+        sent.append(F.struct((F.col("chunk") - 1).alias("to"), F.lit(2).alias("role"), F.slice("samples", F.lit(1), F.lit(after)).alias("part")))
+    met = chunks.select(key, F.inline(F.array(*sent))).where("to >= 0").groupBy(key, "to")
     parts = [F.max(F.when(F.col("role") == i, F.col("part"))).alias(name) for i, name in enumerate(("samples", "before", "after"))]
     joined = met.agg(*parts).where("samples is not null")
     return joined.select(key, F.col("to").alias("chunk"), F.coalesce("before", kept).alias("before"), "samples", F.coalesce("after", kept).alias("after"))
@@ -141,12 +143,17 @@ def log_mel_chunks(
     """``(key, frame, mel)`` as ``log_mel`` gives it for whole recordings, each frame from the chunk in which its middle lies.
 
     Only the two ends of a recording are mirrored. Values are cut off at eight below the largest of the recording, an aggregate over
-    its frames, for which they are written once.
+    its frames, for which they are written once, as the floats they end as: rounding keeps their order, so the cut is the same
+    before and after it. Where nothing lies below it, frames are done; the other recordings' cuts are broadcast while
+    they are at most ``MOST_CUTS``, else joined by shuffle.
     """
     half = n_fft // 2
     if size < n_fft:
         raise ValueError("a chunk is shorter than a frame")
-    schema = T.StructType([chunks.schema[key], T.StructField("frame", T.LongType()), T.StructField("raw", T.ArrayType(T.DoubleType())), T.StructField("most", T.DoubleType())])
+    schema = T.StructType([
+        chunks.schema[key], T.StructField("frame", T.LongType()), T.StructField("mel", T.ArrayType(T.FloatType())), T.StructField("least", T.FloatType()), T.StructField("most", T.DoubleType()),
+    ])
+    most_samples, at_once = SAMPLES_AT_ONCE, A.FRAMES_AT_ONCE
 
     def frames_of(before: np.ndarray, own: np.ndarray, after: np.ndarray, start: int) -> tuple[int, np.ndarray]:
         """The first frame and the windows of all that have their middle here."""
@@ -167,21 +174,39 @@ def log_mel_chunks(
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filters, window = A._mel_filters(rate, n_fft, bands), np.hanning(n_fft + 1)[:-1]
+
+        def transformed(keys: pa.Array, held: list[tuple[int, int, np.ndarray]]) -> pa.RecordBatch:
+            """Frames of several chunks: the row, the first frame and the windows of each part."""
+            counts = [len(part) for _, _, part in held]
+            power = np.abs(np.fft.rfft(np.concatenate([part for _, _, part in held]) * window, axis=1)) ** 2 @ filters.T
+            mel = np.log10(np.maximum(power, 1e-10))
+            level = ((mel + 4.0) / 4.0).astype(np.float32)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(mel) + 1) * bands, pa.int32()), pa.array(level.ravel()))
+            frames = np.concatenate([np.arange(first, first + n) for (_, first, _), n in zip(held, counts)])
+            names = keys.take(pa.array(np.repeat([i for i, _, _ in held], counts)))
+            return pa.RecordBatch.from_arrays([names, pa.array(frames), lists, pa.array(level.min(axis=1)), pa.array(mel.max(axis=1))], names=schema.names)
+
         for batch in batches:
-            for i in range(len(batch)):
-                first, framed = frames_of(*_local(batch, i), batch.column(1)[i].as_py() * size)
-                for at in range(0, len(framed), A.FRAMES_AT_ONCE):
-                    part = np.abs(np.fft.rfft(framed[at : at + A.FRAMES_AT_ONCE] * window, axis=1)) ** 2 @ filters.T
-                    mel = np.log10(np.maximum(part, 1e-10))
-                    n = len(mel)
-                    lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * bands, pa.int32()), pa.array(mel.ravel()))
-                    names = pa.array([batch.column(0)[i].as_py()] * n, batch.schema.field(0).type)
-                    yield pa.RecordBatch.from_arrays([names, pa.array(first + at + np.arange(n)), lists, pa.array(mel.max(axis=1))], names=schema.names)
-
-    raw = write_through(with_halo(chunks, key, half, half).mapInArrow(features, schema), "mel")
-    most = raw.groupBy(key).agg(F.max("most").alias("_most"))
-    level = F.transform("raw", lambda x: ((F.greatest(x, F.col("_most") - 8.0) + 4.0) / 4.0).cast("float"))
-    return raw.join(most, key).select(key, "frame", level.alias("mel"))
+            for low, high in pieces(batch.column(3), most_samples):
+                rows, held, n = batch.slice(low, high - low), [], 0
+                for i in range(len(rows)):
+                    first, framed = frames_of(*_local(rows, i), rows.column(1)[i].as_py() * size)
+                    for at in range(0, len(framed), at_once):
+                        part = framed[at : at + at_once]
+                        if n + len(part) > at_once:
+                            yield transformed(rows.column(0), held)
+                            held, n = [], 0
+                        held.append((i, first + at, part))
+                        n += len(part)
+                if held:
+                    yield transformed(rows.column(0), held)
+
+    framed = write_through(with_halo(chunks, key, half, half).where(F.col(key).isNotNull()).mapInArrow(features, schema), "mel")
+    ends = framed.groupBy(key).agg(F.min("least").alias("_least"), ((F.max("most") - 8.0 + 4.0) / 4.0).cast("float").alias("_cut"))
+    cuts = write_through(ends.where("_least < _cut").select(key, "_cut"), "cuts")
+    cuts = F.broadcast(cuts) if cuts.count() <= MOST_CUTS else cuts
+    level = F.when(F.col("_cut").isNull(), F.col("mel")).otherwise(F.transform("mel", lambda x: F.greatest(x, F.col("_cut"))))
+    return framed.join(cuts, key, "left").select(key, "frame", level.alias("mel"))
 
 
 class SincFilter:

@@ -130,3 +130,30 @@ def test_samples_of_texts_in_batches(spark):
     texts = spark.createDataFrame([(t,) for t in ("", "abc", None, "é→😀", "a\x00b", "x" * 3000)], "text string")
     rows = texts.select(S.text_samples_long(F.col("text")).alias("l"), S.text_samples(F.col("text")).alias("s")).collect()
     assert all(r["l"] == r["s"] for r in rows) and len(rows) == 6
+
+
+@pytest.mark.parametrize("most", [1_000_000, 0])
+def test_log_mel_frames_are_written_as_floats_and_not_shuffled_by_recording(spark, monkeypatch, most):
+    """Recordings with silence, whose values are cut off, without it, and none of a key; cuts are broadcast or joined."""
+    written, write = {}, R.write_through
+
+    def kept(df, name):
+        written[name] = write(df, name)
+        return written[name]
+
+    monkeypatch.setattr(R, "write_through", kept)
+    monkeypatch.setattr(R, "MOST_CUTS", most)
+    noise = RNG.normal(size=4003).astype(np.float32)
+    quiet = np.where(np.arange(4003) % 2000 < 1000, noise, 0).astype(np.float32)
+    waves = spark.createDataFrame([(1, noise.tolist()), (2, quiet.tolist()), (3, quiet[:900].tolist()), (None, noise.tolist())], "id long, samples array<float>")
+    frames = R.log_mel_chunks(R.chunk_recordings(waves, "id", "samples", 500), "id", 500)
+    got = by_id(frames, "frame", "mel")
+    expected = by_id(A.log_mel(waves.where("id is not null"), "id", "samples", length=None), "frame", "mel")
+    assert got.keys() == expected.keys()
+    for i in got:
+        assert [f for f, _ in got[i]] == [f for f, _ in expected[i]]
+        assert np.allclose([m for _, m in got[i]], [m for _, m in expected[i]], atol=1e-6)
+    assert written["mel"].schema["mel"].dataType.simpleString() == "array<float>"
+    assert {r["id"] for r in written["cuts"].collect()} == {2}
+    if most:
+        assert "hashpartitioning" not in frames._jdf.queryExecution().toString()
