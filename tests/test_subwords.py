@@ -2,6 +2,7 @@
 
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -112,3 +113,24 @@ def test_cutting_goes_piece_by_piece(monkeypatch):
     made = list(cutter.func(iter([column])))
     assert [len(part) for part in made] == [4, 1, 1]
     assert sum((part.to_pylist() for part in made), []) == [["▁ab"] * 5, None, [], ["▁c"], ["▁ab"] * 30, ["▁d"]]
+
+
+def test_first_pairs_are_counted_without_cutting_each_word(monkeypatch):
+    """All characters, words of one character, repeated pairs and many words at once, next to a loop over words."""
+    words = ["a", "ab", "aaaa", "abab", "▁▁", "é\U0010ffffé\U0010ffff", "\x00\x00b", "", *(f"w{i % 7}{i}" for i in range(40))]
+    uses = list(range(1, len(words) + 1))
+    expected = []
+    for word, n in zip(words, uses):
+        symbols = B.cut(word, {}) if word else []
+        expected += [(left, right, word, n, c) for (left, right), c in Counter(zip(symbols, symbols[1:])).items()]
+
+    def no_cut(*_):
+        raise AssertionError("a word was cut")
+
+    monkeypatch.setattr(B, "cut", no_cut)
+    monkeypatch.setattr(B, "WORDS_AT_ONCE", 11)
+    change, _ = B._first_pairs()
+    batches = [pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(uses, pa.int64())], names=["word", "uses"]).slice(i, 30) for i in (0, 30)]
+    batches.append(batches[0].slice(0, 0))
+    got = [tuple(r.values()) for b in change(iter(batches)) for r in b.to_pylist()]
+    assert sorted(got) == sorted(expected) and len(got) > 100
