@@ -1,5 +1,7 @@
 """Recordings in chunks next to whole ones."""
 
+import tracemalloc
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -157,3 +159,27 @@ def test_log_mel_frames_are_written_as_floats_and_not_shuffled_by_recording(spar
     assert {r["id"] for r in written["cuts"].collect()} == {2}
     if most:
         assert "hashpartitioning" not in frames._jdf.queryExecution().toString()
+
+
+@pytest.mark.parametrize("rates", [(24, 16), (16, 24), (3, 1), (44100, 16000), (1, 1)])
+def test_outputs_of_a_phase_are_made_from_steps_through_the_samples(rates):
+    """Equal to a sum for each output, on both sides of the number from which on phases are taken together."""
+    filter_ = R.SincFilter(*rates)
+    for n in (1, 100, 32 * filter_.down - 3, 32 * filter_.down + 40):
+        for start, before in ((0, 0), (7 * filter_.half, filter_.half)):
+            parts = [RNG.normal(size=k) for k in (before, n, filter_.half)]
+            low, high = filter_.outputs(start, n)
+            wave = np.concatenate([np.zeros(filter_.half), *parts, np.zeros(filter_.half)])
+            at = [(i * filter_.down // filter_.up + before - start + 1, i * filter_.down % filter_.up) for i in range(low, high)]
+            wanted = [wave[place : place + 2 * filter_.half] @ filter_.weights[phase] for place, phase in at]
+            assert np.allclose(filter_.apply(*parts, start), wanted, rtol=0, atol=1e-12)
+
+
+def test_windows_are_not_gathered_sample_by_sample():
+    filter_, wave = R.SincFilter(24, 16), RNG.normal(size=480_000)
+    tracemalloc.start()
+    filter_.apply(wave[:0], wave, wave[:0], 0)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # The padded samples, the result, and a block of windows at most; not its places, samples, weights and products.
+    assert peak < 8 * (480_000 + 320_000 + 8192 * 2 * filter_.half) + 1_000_000
