@@ -23,8 +23,9 @@ from corpusloom.session import write_through
 # Instead of a place in the head: an element that the head lacks, and one that is NULL.
 _LACKING, _NULL = -1, -2
 
-# Elements whose values a task puts together at once.
+# Elements, or bytes of text, that a task looks up or puts together at once.
 MOST_ELEMENTS = 1_000_000
+MOST_TEXT_BYTES = 8 * 1024 * 1024
 
 
 def _as_lists(column: pa.Array) -> tuple[np.ndarray, pa.Array]:
@@ -47,28 +48,36 @@ def split_texts(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
 
 
 def _in_head(shared, key_name: str):
+    most = {True: MOST_ELEMENTS, False: MOST_TEXT_BYTES}
+
+    def looked(column: pa.Array, keys: pa.Array, place_of: pa.Array) -> pa.Array:
+        offsets, flat = _as_lists(column) if pa.types.is_list(column.type) else split_texts(column)
+        found = pc.index_in(flat, value_set=keys)
+        found = place_of.take(found) if place_of.null_count else found
+        lacking = pc.and_(pc.is_null(found), pc.is_valid(flat)).to_numpy(zero_copy_only=False)
+        place = pc.fill_null(found, _NULL).to_numpy(zero_copy_only=False).copy()
+        place[lacking] = _LACKING
+        missing = np.concatenate([[0], np.cumsum(lacking)])[offsets].astype(np.int32)
+        lists = (
+            pa.ListArray.from_arrays(pa.array(offsets), pa.array(place)),
+            pa.ListArray.from_arrays(pa.array(missing), flat.filter(pa.array(lacking))),
+        )
+        return pa.StructArray.from_arrays(lists, ["place", "missing"])
+
     def find(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         keys, values = shared.value
         # An entry without a value counts as lacking.
         place_of = pa.array(np.arange(len(keys)), pa.int32(), mask=pc.is_null(values).to_numpy(zero_copy_only=False))
         for column in batches:
-            offsets, flat = _as_lists(column) if pa.types.is_list(column.type) else split_texts(column)
-            found = pc.index_in(flat, value_set=keys)
-            found = place_of.take(found) if values.null_count else found
-            lacking = pc.and_(pc.is_null(found), pc.is_valid(flat)).to_numpy(zero_copy_only=False)
-            place = pc.fill_null(found, _NULL).to_numpy(zero_copy_only=False).copy()
-            place[lacking] = _LACKING
-            missing = np.concatenate([[0], np.cumsum(lacking)])[offsets].astype(np.int32)
-            lists = (
-                pa.ListArray.from_arrays(pa.array(offsets), pa.array(place)),
-                pa.ListArray.from_arrays(pa.array(missing), flat.filter(pa.array(lacking))),
-            )
-            yield pa.StructArray.from_arrays(lists, ["place", "missing"])
+            parts = list(pieces(column, most[pa.types.is_list(column.type)])) or [(0, 0)]
+            yield pa.concat_arrays([looked(column.slice(low, high - low), keys, place_of) for low, high in parts])
 
     return F.arrow_udf(find, f"struct<place: array<int>, missing: array<{key_name}>>")
 
 
 def _put(shared, keys: Sequence[str], out: str, finish: Callable[[pa.ListArray], pa.Array] | None):
+    most = MOST_ELEMENTS
+
     def values_of(place: pa.Array, late: pa.Array, values: pa.Array) -> pa.Array:
         offsets, flat = _as_lists(place)
         index = flat.to_numpy(zero_copy_only=False).copy()
@@ -102,7 +111,7 @@ def _put(shared, keys: Sequence[str], out: str, finish: Callable[[pa.ListArray],
         values = shared.value[1]
         for rows, late in whole_rows(batches):
             done = 0
-            for low, high in pieces(rows["_place"], MOST_ELEMENTS):
+            for low, high in pieces(rows["_place"], most):
                 part = rows.slice(low, high - low)
                 n = pc.sum(pc.equal(pc.list_flatten(part["_place"]), _LACKING)).as_py() or 0
                 found = values_of(part["_place"], late.slice(done, n), values)

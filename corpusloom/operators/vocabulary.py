@@ -14,7 +14,7 @@ from corpusloom.functions.text import split_ws
 from corpusloom.operators import lookup
 from corpusloom.operators.lookup import COUNTED_KEYS, frequent_keys, lookup_join
 from corpusloom.operators.ordinal import ordinal
-from corpusloom.operators.rowlookup import filtered, lookup_rows, split_texts
+from corpusloom.operators.rowlookup import MOST_TEXT_BYTES, filtered, lookup_rows, split_texts
 from corpusloom.operators.rows import pieces
 from corpusloom.session import write_through
 
@@ -31,9 +31,6 @@ HEAD_RANK_BYTES = 4 * 1024 * 1024
 # A lookup within rows has so many times the ranks in its head, as Arrow arrays; they stay below the same limit.
 ROW_HEADS = 5
 
-# Bytes of text whose words a task counts at once.
-MOST_TEXT_BYTES = 32 * 1024 * 1024
-
 
 def _text_counts(df: DataFrame, text: str) -> DataFrame:
     """``(token, uses)`` of the words of texts, split and counted in Arrow batches first."""
