@@ -27,10 +27,10 @@ def embedding_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def weighted_sum(values: Column, share: Column | None = None) -> Column:
-    """A sum that changes if any value changes its place, or a share of it."""
+    """A sum that changes if any value changes its place, or a share of it; the share of 0 is NULL."""
     weighted = F.transform(values, lambda x, i: x.cast("double") * (i + 1))
     total = F.aggregate(weighted, F.lit(0.0), lambda acc, x: acc + x)
-    return F.round(total if share is None else total / share, 4)
+    return F.round(total if share is None else F.try_divide(total, share), 4)
 
 
 @query(
@@ -226,7 +226,12 @@ def pad_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
     select doc_id, count(*) as n, round(sum((l * (1 - part) + r * part) * (i + 1)) / count(*), 4) as total from mixed group by doc_id""",
 )
 def resample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = sounds(spark, sf_dir).select("doc_id", A.resample_long(F.col("a"), 24000, 16000).alias("r"))
+    """As in SQL, an empty text has no samples and so no row. Samples are made in Arrow batches, where a character costs
+    bytes and not an object; only texts that are no valid UTF-8 are left to expressions."""
+    text = F.col("text")
+    texts = spread_rows(S.documents(spark, sf_dir).select("doc_id", text), "doc_id").where(text.isNull() | (text != ""))
+    samples = F.coalesce(S.text_samples_long(F.try_validate_utf8(text)), S.text_samples(text))
+    rows = texts.select("doc_id", samples.alias("a")).select("doc_id", A.resample_long(F.col("a"), 24000, 16000).alias("r"))
     n = F.size("r").cast("bigint")
     return rows.select("doc_id", n.alias("n"), weighted_sum(F.col("r"), n).alias("total"))
 
@@ -243,12 +248,12 @@ def resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     select doc_id, 16000 as rate, s.n, s.total from rated left join sums s using (doc_id)""",
 )
 def cast_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Recordings of two rates, of none and of rate 0; the last two have no samples afterwards."""
+    """Recordings of two rates, of none and of rate 0; the last two, and empty ones, have no samples afterwards."""
     kind = F.col("doc_id") % 4
     rate = F.when(kind == 0, 24000).when(kind == 1, 16000).when(kind == 2, 0)
     audio = F.struct(F.col("a").alias("array"), rate.alias("sampling_rate"))
     rows = sounds(spark, sf_dir).select("doc_id", A.cast_audio(audio, 16000).alias("r"))
-    n = F.size("r.array").cast("bigint")
+    n = F.nullif(F.size("r.array").cast("bigint"), F.lit(0))
     return rows.select(
         "doc_id", F.col("r.sampling_rate").alias("rate"), n.alias("n"), weighted_sum(F.col("r.array"), n).alias("total")
     )

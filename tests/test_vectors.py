@@ -2,10 +2,13 @@
 
 import math
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from check import difference
+from corpusloom.catalog import QUERIES, SQL
 from corpusloom.functions import audio as A
 from corpusloom.functions import vectors as V
 from corpusloom.operators import embedding as E
@@ -151,3 +154,35 @@ def test_resampling_goes_piece_by_piece(monkeypatch):
     assert [len(part) for part in made] == [4, 2]
     got = sum((part.to_pylist() for part in made), [])
     assert got == [[0.0, 1.5], None, [], [3.0, 6.0], [0.0, None], [4.0]]
+
+
+def texts_in(spark, folder, texts):
+    rows = list(enumerate(texts))
+    spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1).write.parquet(f"{folder}/documents.parquet")
+    return str(folder)
+
+
+@pytest.mark.parametrize("name", ["resample", "cast_audio"])
+def test_empty_texts_equal_sql(spark, tmp_path, name):
+    """An empty text has no samples to take a share of, which is no error."""
+    folder = texts_in(spark, tmp_path, ["", "", "", "", "ab c", "x", "d", "e", "\u00e4\U0001f600\u4e2d", "ab" * 400])
+    con = duckdb.connect()
+    con.sql(f"create view documents as select * from '{folder}/documents.parquet/*.parquet'")
+    assert difference(QUERIES[name](spark, folder), con.sql(SQL[name])) is None
+
+
+def test_resample_of_odd_texts(spark, tmp_path):
+    """No row for an empty text, one without samples for a missing text, one for a long text."""
+    df = QUERIES["resample"](spark, texts_in(spark, tmp_path, ["", None, "a" * 300_000]))
+    got = {r["doc_id"]: (r["n"], r["total"]) for r in df.collect()}
+    mean = sum(range(1, 200_001)) / 200_000
+    assert got == {1: (None, None), 2: (200_000, round(97 / 128 * mean, 4))}
+
+
+def test_resample_of_broken_texts(spark, tmp_path):
+    """Bytes that are no UTF-8 are one sample for each character they begin, as in the other queries over sounds."""
+    bad = ("61", "6162ff63", "c3", "eda08041", "61f09f6263e4b878")
+    rows = ", ".join(f"({i}L, cast(unhex('{x}') as string))" for i, x in enumerate(bad))
+    spark.sql(f"select * from values {rows} as t(doc_id, text)").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: (r["n"], r["total"]) for r in QUERIES["resample"](spark, str(tmp_path)).collect()}
+    assert got == {0: (1, 0.7578), 1: (3, 171.9401), 2: (1, 511.9766), 3: (2, 256.4961), 4: (2, 512.3555)}
